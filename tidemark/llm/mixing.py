@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import BLANK, Scratch, ranked
+from .base import BLANK, Scratch, partitions, ranked
 
 #: Words of a block, slots of an output shard (about), passes over a source, rounds of the permutation.
 BLOCK, SHARD, PASSES, ROUNDS = 64, 4096, 3, 12
@@ -70,7 +70,7 @@ def draws(per: DataFrame, seed: int) -> DataFrame:
     shards = max(1, -(-total // SHARD))
     keys = F.array(*[F.pmod(F.xxhash64(F.lit(seed), F.lit(r), "skey"), F.col("blocks")) for r in range(ROUNDS)])
     chunks = per.filter("slots > 0").select("skey", "blocks", "slots", keys.alias("keys"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long"))).alias("at"))
-    chunks = chunks.repartition("skey", "at")
+    chunks = chunks.repartition(partitions(per.sparkSession), "skey", "at")
     slots = chunks.select("skey", "blocks", "keys", F.explode(F.sequence("at", F.least(F.col("at") + CHUNK, F.col("slots")) - 1)).alias("slot"))
     block = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("keys"), seed + 1)
     return slots.select("skey", block.alias("block"), F.pmod(F.xxhash64(F.lit(seed + 2), "skey", "slot"), F.lit(shards)).alias("shard"))
@@ -100,7 +100,8 @@ def parts(rows: DataFrame, per: DataFrame, seed: int) -> DataFrame:
     cut = rows.withColumn("block", F.explode_outer(blocks))
     lo = F.greatest(F.col("block") * BLOCK - F.col("start"), F.lit(0))
     hi = F.least(F.col("block") * BLOCK + BLOCK - F.col("start"), F.col("size"))
-    return cut.join(times, ["skey", "block"], "left").select(*rows.columns, lo.alias("lo"), hi.alias("hi"), F.coalesce("times", F.lit(0)).alias("times"))
+    # the planner takes the draws, made from a few rows, for small; they grow with the corpus
+    return cut.join(times.hint("merge"), ["skey", "block"], "left").select(*rows.columns, lo.alias("lo"), hi.alias("hi"), F.coalesce("times", F.lit(0)).alias("times"))
 
 
 def plan(docs: DataFrame, seed: int = 20240607) -> DataFrame:
