@@ -21,11 +21,12 @@ from .mixing import word_count
 KEY = ["d", "h"]
 
 
-def lines_of(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(d, h, i, line, w): non-blank lines, numbered from 0 within their document, and the line's number."""
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(d, h, pos, line, w): the non-blank lines, with their number in the document and their words."""
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    at = docs.select(d.alias("d"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "l"))
-    return at.select("d", "h", "pos", F.xxhash64("l").alias("line"), F.least(word_count(F.col("l")), F.lit(1 << 20)).alias("w"))
+    at = docs.select(d.alias("d"), F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "l"))
+    at = at.filter(F.btrim("l", F.lit(" \t\n\x0b\x0c\r")) != "")
+    return at.select("d", "h", "pos", F.xxhash64("l").alias("line"), word_count(F.col("l")).alias("w"))
 
 
 def doubled(level: DataFrame, step: int, scratch: Scratch) -> DataFrame:
@@ -39,7 +40,7 @@ def doubled(level: DataFrame, step: int, scratch: Scratch) -> DataFrame:
 
 def repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     """(d, h, gone): numbers (from 0) of the lines of each document that go."""
-    lines = lines_of(docs).filter("w > 0")
+    lines = lines_of(docs)
     order = Window.partitionBy(*KEY).orderBy("pos")
     lines = scratch.table(lines)
     often = lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line")

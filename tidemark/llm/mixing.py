@@ -23,8 +23,11 @@ CHUNK = 1024
 
 
 def word_count(text: Column) -> Column:
-    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, BLANK))).cast("long")
+    """Parts between single blanks that are not empty; a cut at one character needs no regular expression."""
+    plain = F.coalesce(text, F.lit(""))
+    for c in "\t\n\x0b\x0c\r":
+        plain = F.replace(plain, F.lit(c), F.lit(" "))
+    return F.size(F.array_remove(F.split(plain, " "), "")).cast("long")
 
 
 def targets(sizes: DataFrame, scratch: Scratch) -> DataFrame:
