@@ -29,8 +29,8 @@ from .lm import mixed
 
 SYMBOLS, BITS, CHUNKS, ERRORS = 64, 8, 14, 1
 DISTANCE = (ERRORS + 1) * CHUNKS - 1
-#: Documents and shingles of a block; two blocks meet in a task.
-BLOCK, BLOCK_SHINGLES, MOST_WORDS = 128, 1_000_000, 400_000
+#: Signatures of a block, documents and shingles of one that is confirmed; two blocks meet in a task.
+SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 2048, 256, 1_000_000, 400_000
 SEEDS = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -158,7 +158,7 @@ def candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
                     node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), k.shape[1])
                     yield pa.RecordBatch.from_arrays([pa.array(k.reshape(-1)), pa.array(node)], ["key", "node"])
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             a, b = [], []
             for rows in batch["rows"]:
@@ -171,12 +171,12 @@ def candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
 
     keys = reps.select("node", "sig").mapInArrow(keyed, "key long, node long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
+    met = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / SIGNATURES).cast("long"))
     lists = paired(met, "key", "node", "blocks").groupBy("key", "i", "j").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
     lists = scratch.table(lists.filter(F.size("nodes") > 1).select("nodes").distinct())  # many keys hold the same documents
     members = lists.select(F.xxhash64("nodes").alias("list"), F.explode("nodes").alias("node")).join(reps.select("node", "sig"), "node")
     packed = members.groupBy("list").agg(F.collect_list(F.struct("node", "sig")).alias("rows")).select("rows")
-    return packed.mapInPandas(compare, "a long, b long")
+    return packed.mapInPandas(alike, "a long, b long")
 
 
 def confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
