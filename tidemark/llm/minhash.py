@@ -170,12 +170,12 @@ def candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
             yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     keys = reps.select("node", "sig").mapInArrow(keyed, "key long, node long")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = keys.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / SIGNATURES).cast("long"))
-    lists = paired(met, "key", "node", "blocks").groupBy("key", "i", "j").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-    lists = scratch.table(lists.filter(F.size("nodes") > 1).select("nodes").distinct())  # many keys hold the same documents
-    members = lists.select(F.xxhash64("nodes").alias("list"), F.explode("nodes").alias("node")).join(reps.select("node", "sig"), "node")
-    packed = members.groupBy("list").agg(F.collect_list(F.struct("node", "sig")).alias("rows")).select("rows")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1").select("key", "first")
+    # keys with the same least node are one group: each key's nodes still meet, and only once
+    met = scratch.table(keys.join(shared, "key").select("first", "node").distinct())
+    size = met.groupBy("first").agg(F.ceil(F.count("*") / SIGNATURES).cast("long").alias("blocks"))
+    rows = paired(met.join(size, "first"), "first", "node", "blocks").join(reps.select("node", "sig"), "node")
+    packed = rows.groupBy("first", "i", "j").agg(F.collect_list(F.struct("node", "sig")).alias("rows")).select("rows")
     return packed.mapInPandas(alike, "a long, b long")
 
 
