@@ -4,7 +4,8 @@ A signature has SYMBOLS minima of BITS bits. It is cut into CHUNKS; two signatur
 at most (ERRORS + 1) * CHUNKS - 1 symbols agree, by the pigeonhole principle, in some chunk but
 for ERRORS symbols, so each chunk gives a key for every way to leave out ERRORS symbols, and all
 pairs under that distance share a key. For a similarity of 0.8 the distance is binomial with mean
-12.8; over 26 of 64 differ with a chance of 5e-5.
+16; over 31 of 80 differ with a chance of 3e-5. A key holds 4 symbols, 64 bits, so that unlike
+documents hardly ever share one however many there are.
 
 Equal sets become one class first. Neither keys nor classes emit all their pairs: tasks compare
 bounded blocks and return a spanning forest of what they have found; forests lead to the same
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from .base import Scratch, broadcast_if, components, words
 from .lm import mixed
 
-SYMBOLS, BITS, CHUNKS, ERRORS = 64, 8, 14, 1
+SYMBOLS, BITS, CHUNKS, ERRORS = 80, 16, 16, 1
 DISTANCE = (ERRORS + 1) * CHUNKS - 1
 #: Signatures of a block, documents and shingles of one that is confirmed; two blocks meet in a task.
 SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 2048, 256, 1_000_000, 400_000
@@ -66,7 +67,7 @@ def signature(s: np.ndarray) -> bytes:
     least = np.full(SYMBOLS, np.uint64(0xFFFFFFFFFFFFFFFF))
     for i in range(0, len(s), 1 << 14):
         least = np.minimum(least, (s[i : i + (1 << 14), None] * SEEDS).min(0))
-    return (mixed(least) & np.uint64((1 << BITS) - 1)).astype(np.uint8).tobytes()
+    return (mixed(least) & np.uint64((1 << BITS) - 1)).astype(np.uint16).tobytes()
 
 
 def keys_of(sigs: np.ndarray) -> np.ndarray:
@@ -152,7 +153,7 @@ def candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 batch = whole.slice(at, 4096)
-                sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, SYMBOLS)
+                sigs = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
                 if len(sigs):
                     k = keys_of(sigs)
                     node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), k.shape[1])
@@ -163,7 +164,7 @@ def candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
             a, b = [], []
             for rows in batch["rows"]:
                 ids = [r["node"] for r in rows]
-                sigs = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint8).reshape(-1, SYMBOLS)
+                sigs = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint16).reshape(-1, SYMBOLS)
                 for i, j in forest(near_signatures(sigs)):
                     a.append(ids[i])
                     b.append(ids[j])
