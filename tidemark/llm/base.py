@@ -54,6 +54,13 @@ class Scratch:
             remove(self.spark, t.scratch_path)
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Fewer rows in an Arrow batch: workers and executors hold whole texts of a batch, which may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Spark's own estimate of a plan's bytes; no job runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -20,10 +20,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import small_batches
+
 #: Fixed value: the byte-level tokenizer's own split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that a worker remembers at most; beyond it they are computed anew.
-MOST_WORDS = 300_000
+MOST_WORDS = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -168,5 +170,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 "doc_id": batch["doc_id"], "n_tokens": [len(i) // 4 for i, _ in rows], "ids": [i for i, _ in rows], "decoded": [d for _, d in rows],
                 "ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in rows], "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for _, d in rows],
             })
+        enc.known = {}  # the worker may serve other operators next
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded string, ids_sha256 string, decoded_sha256 string")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, broadcast_if
+from .base import Scratch, broadcast_if, small_batches
 from .urlfilter import host_of
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
@@ -168,6 +168,7 @@ def extract(pages: DataFrame) -> DataFrame:
     one without ://) are a host together. Repeated rows and null ids each give a row.
     """
     scratch = Scratch(pages.sparkSession, "html")
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
 

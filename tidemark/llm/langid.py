@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import remainder
+from .base import remainder, small_batches
 
 GRAMS, BITS = 3, 18
 #: Bounds of the fit: labelled rows a language (about), languages (the most frequent), landmarks.
@@ -99,6 +99,7 @@ def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     0..1; ties go to the language first by code point. Columns of docs that are called lang_pred
     or score are replaced. No shuffle; the model is bounded by 2**BITS places x MOST_LANGS.
     """
+    small_batches(docs.sparkSession)
     held_out = remainder(F.col("doc_id"), 4) == 2 if held_out is None else held_out
     kinds = {"doc_id": "long", "text": "string", "lang": "string"}
     narrow = docs.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])

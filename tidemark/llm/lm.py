@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, partitions, plan_bytes, remainder, words
+from .base import Scratch, partitions, plan_bytes, remainder, small_batches, words
 
 #: Bytes of input that make one bucket, tokens that a task holds before it sorts them, and the
 #: parts into which the followers of a word are dealt (a frequent word has very many).
@@ -31,7 +31,7 @@ BUCKET_BYTES, BATCH_TOKENS, SPREAD = 32 << 20, 1 << 20, np.uint64(8)
 MASK = np.uint64((1 << 48) - 1)
 #: Hashes of the end of a text and of the place before its first word.
 END, BEGIN = 1, 2
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 
 
 class Hashes(dict):
@@ -313,6 +313,7 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     the probability of the unknown one. Repeated rows count and score as often as they stand.
     """
     scratch = Scratch(docs.sparkSession, "lm")
+    small_batches(docs.sparkSession)
     held_out = remainder(F.col("doc_id"), 5) == 1 if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(rows.filter(~held_out), scratch)

@@ -25,13 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, broadcast_if, components, words
+from .base import Scratch, broadcast_if, components, small_batches, words
 from .lm import mixed
 
 SYMBOLS, BITS, CHUNKS, ERRORS = 80, 16, 16, 1
 DISTANCE = (ERRORS + 1) * CHUNKS - 1
 #: Signatures of a block, documents and shingles of one that is confirmed; two blocks meet in a task.
-SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 2048, 256, 1_000_000, 400_000
+SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 2048, 256, 1_000_000, 150_000
 SEEDS = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -140,8 +140,8 @@ def classes(docs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(width)
         for batch in batches:
-            sets = [shingles.of(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets], "node": pd.array([class_of(s) if len(s) else None for s in sets], "Int64"), "sig": [signature(s) if len(s) else None for s in sets]})
+            rows = [(len(s), class_of(s), signature(s)) if len(s) else (0, None, None) for s in map(shingles.of, batch["text"])]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": [n for n, _, _ in rows], "node": pd.array([c for _, c, _ in rows], "Int64"), "sig": [x for _, _, x in rows]})
 
     return scratch.table(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, sig binary"))
 
@@ -219,6 +219,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     true. Rows that repeat a doc_id are rows of their own; equal sets share class_id.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = classes(docs, width, scratch)
     reps = rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
