@@ -57,14 +57,17 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     labels = sorted(set(langs))
     if not labels:
         return Model([], np.zeros((1 << BITS, 0), np.float32))
-    sets = [grams(t) for t in texts]
+    sets = [grams(t).astype(np.int32) for t in texts]
     root = np.sqrt([max(1, len(s)) for s in sets])
     by = {k: [i for i, x in enumerate(langs) if x == k] for k in labels}
     marks = [i for j in range(len(texts)) for k in labels if j < len(by[k]) for i in [by[k][j]]][:MOST_LANDMARKS]
-    presence = np.zeros((1 << BITS, len(marks)), np.float32)
+    places = np.unique(np.concatenate([sets[i] for i in marks]))  # other places meet no landmark
+    row = np.full(1 << BITS, -1, np.int32)
+    row[places] = np.arange(len(places))
+    presence = np.zeros((len(places), len(marks)), np.float32)
     for j, i in enumerate(marks):
-        presence[sets[i], j] = 1 / root[i]
-    kernel = np.stack([presence[s].sum(0) / r for s, r in zip(sets, root)]).astype(np.float64)
+        presence[row[sets[i]], j] = 1 / root[i]
+    kernel = np.stack([presence[(r := row[s])[r >= 0]].sum(0) / n for s, n in zip(sets, root)]).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel[marks])
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
@@ -73,7 +76,9 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     weigh = np.sqrt(len(langs) / np.array([len(by[x]) for x in langs]))[:, None]  # languages count alike
     x, y = features * weigh, target * weigh
     ridge = np.linalg.solve(x.T @ x + RIDGE * len(langs) * np.eye(x.shape[1]) / x.shape[1], x.T @ y)
-    return Model(labels, presence @ (half @ ridge).astype(np.float32))
+    weights = np.zeros((1 << BITS, len(labels)), np.float32)
+    weights[places] = presence @ (half @ ridge).astype(np.float32)
+    return Model(labels, weights)
 
 
 def sample(docs: DataFrame, chosen: Column) -> tuple[list[str], list[str]]:
