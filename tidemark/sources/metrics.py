@@ -16,16 +16,26 @@ from tidemark.functions.types import comparable, to_json
 DRIVER_FILES = 64
 
 
+def opened(path: str) -> Any:
+    """An open file of a Hadoop path, whose name is not escaped as in a URI."""
+    import pyarrow.fs as pafs
+
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return pafs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    authority, _, name = rest.lstrip("/").partition("/")
+    fs, _ = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return fs.open_input_file(f"{authority}/{name}" if scheme in ("s3", "s3a", "gs") else f"/{name}")
+
+
 def footer(path: str, schema: T.StructType) -> dict[str, Any]:
     """rows, and by column: bytes, values, nulls, lower, upper. What any row group lacks is left out.
 
     Bounds are kept for columns at the top level that have an order, never NaN.
     """
-    import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
-    fs, at = pafs.FileSystem.from_uri(path)
-    with fs.open_input_file(at) as f:
+    with opened(path) as f:
         meta = pq.ParquetFile(f).metadata
     kinds = {f.name: f.dataType for f in schema.fields}
     columns: dict[str, dict[str, Any]] = {}
@@ -54,11 +64,17 @@ def footer(path: str, schema: T.StructType) -> dict[str, Any]:
 
 
 def rows_of(spark: SparkSession, paths: list[str], file_format: str) -> dict[str, dict]:
-    """Row counts alone, for formats without footers that we read."""
+    """Row counts alone, for formats whose footers are not read. Spark names the files as escaped URIs."""
+    from urllib.parse import unquote
+
     from pyspark.sql import functions as F
 
-    got = spark.read.format(file_format).load(paths).groupBy(F.input_file_name().alias("p")).count().collect() if paths else []
-    return {r["p"]: {"rows": r["count"], "columns": {}} for r in got}
+    if not paths:
+        return {}
+    plain = lambda p: p.partition(":")[0] + ":/" + p.partition(":")[2].lstrip("/")
+    got = spark.read.schema("_c string").format(file_format).load(paths).groupBy(F.input_file_name().alias("p")).count().collect()
+    known = {plain(unquote(r["p"])): r["count"] for r in got}
+    return {p: {"rows": known.get(plain(p), 0), "columns": {}} for p in paths}
 
 
 def footers(spark: SparkSession, paths: list[str], schema: T.StructType) -> dict[str, dict]:
