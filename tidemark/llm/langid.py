@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .base import remainder, small_batches
 
 GRAMS, BITS = 3, 18
-#: Bounds of the fit: labelled rows a language (about), languages (the most frequent), landmarks.
-MOST_ROWS, MOST_LANGS, MOST_LANDMARKS = 600, 100, 320
+#: Bounds of the fit: labelled rows a language (about), languages (the most frequent), landmarks,
+#: characters of a text that the fit may use (longer ones are left to prediction, which has no bound).
+MOST_ROWS, MOST_LANGS, MOST_LANDMARKS, MOST_CHARS = 500, 60, 320, 50_000
 RIDGE = 1e-2
 
 
@@ -83,7 +84,7 @@ def fit(texts: list[str], langs: list[str]) -> Model:
 
 def sample(docs: DataFrame, chosen: Column) -> tuple[list[str], list[str]]:
     """About MOST_ROWS labelled rows of each language: those whose id's hash is least."""
-    rows = docs.filter(chosen & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = docs.filter(chosen & F.col("lang").isNotNull() & (F.length("text") <= MOST_CHARS))
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
     if not counts:
         return [], []
