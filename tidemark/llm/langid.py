@@ -130,4 +130,6 @@ def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
 
 def confident(docs: DataFrame) -> DataFrame:
     """Pipeline filter: documents whose text has a language; those judged `und` go."""
-    return identify(docs).filter("lang_pred <> 'und'").drop("lang_pred", "score")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = identify(docs.select("doc_id", "text", "lang", row)).filter("lang_pred <> 'und'")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -23,9 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, partitions, plan_bytes, remainder, small_batches, words
+from .base import Scratch, partitions, remainder, small_batches, words
 
-#: Bytes of input that make one bucket, tokens that a task holds before it sorts them, and the
+#: Bytes of text that make one bucket, tokens that a task holds before it sorts them, and the
 #: parts into which the followers of a word are dealt (a frequent word has very many).
 BUCKET_BYTES, BATCH_TOKENS, SPREAD = 32 << 20, 1 << 20, np.uint64(8)
 MASK = np.uint64((1 << 48) - 1)
@@ -292,7 +292,8 @@ class Model:
 def train(texts: DataFrame, scratch: Scratch) -> Model:
     """A model of all texts (column text) of the DataFrame."""
     spark = texts.sparkSession
-    buckets = partitions(spark, -(-plan_bytes(texts) // BUCKET_BYTES))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = partitions(spark, -(-size // BUCKET_BYTES))
     folder, words_in = f"{scratch.root}/model", max(1, buckets // 4)
     rows = texts.select("text").mapInPandas(lambda it: counted((list(b["text"]) for b in it), buckets), "bucket int, before binary, word binary, n binary")
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(lambda it: merged(it, folder, words_in), MERGED)

@@ -1,7 +1,7 @@
 """URL filter: rules first, gradient-boosted trees on lexical features for the rest.
 
-The trees learn from URLs that rules decide (their labels) and from seed URLs, on a bounded
-sample. Features need the URL alone, so judging is one pass without a shuffle.
+The trees learn from a bounded sample of labelled URLs: those that rules decide, those that no
+rule decides, blocked if their host has a word of advertising, and seeds. Features need the URL alone, so judging is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -40,9 +40,15 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return out
 
 
+def block_words(url: str) -> int:
+    """How many words of the host are those of advertising."""
+    host = url.lower().partition("://")[2].partition("/")[0].partition("?")[0].partition("#")[0]
+    return sum(w in SEED_BLOCK for w in host.replace("-", ".").split("."))
+
+
 def lexical(urls: pd.Series, suffixes: dict[str, tuple[float, float]]) -> np.ndarray:
     """A row of numbers for each URL."""
-    out = np.zeros((len(urls), 14))
+    out = np.zeros((len(urls), 15))
     for i, url in enumerate(urls):
         u = (url or "").lower()
         rest = u.partition("://")[2]
@@ -51,35 +57,37 @@ def lexical(urls: pd.Series, suffixes: dict[str, tuple[float, float]]) -> np.nda
         query = head.partition("?")[2]
         n = np.unique(np.frombuffer(u.encode(), np.uint8), return_counts=True)[1] / max(1, len(u.encode()))
         labels = host.split(".")
-        known = [suffixes.get(s, (0.5, 0.0)) for s in (labels[-1], ".".join(labels[-2:]))]
-        words = host.replace("-", ".").split(".")
-        out[i] = [len(u), len(host), tail.count("/") + bool(slash), sum(map(str.isdigit, u)) / max(1, len(u)), -(n * np.log2(n)).sum() if len(n) else 0, query.count("=") + query.count("&"), host.count("-"), len(labels), u.startswith("https"), known[0][0], known[1][0], known[1][1], sum(w in SEED_BLOCK for w in words), sum(map(str.isdigit, host))]
+        known = [suffixes.get(s, (0.5, 0.0)) for s in (labels[-1], ".".join(labels[-2:]), "/" + tail.partition("/")[0])]
+        out[i] = [len(u), len(host), tail.count("/") + bool(slash), sum(map(str.isdigit, u)) / max(1, len(u)), -(n * np.log2(n)).sum() if len(n) else 0, query.count("=") + query.count("&"), host.count("-"), len(labels), u.startswith("https"), known[0][0], known[1][0], known[1][1], block_words(u), sum(map(str.isdigit, host)), known[2][0]]
     return out
 
 
-def suffix_statistics(urls: list[str], y: np.ndarray) -> dict[str, tuple[float, float]]:
-    """For the last one and two labels of hosts: smoothed share of blocked, log number."""
+def suffix_statistics(urls: list[str], y: np.ndarray, weight: np.ndarray) -> dict[str, tuple[float, float]]:
+    """For the last one and two labels of hosts, and the first part of paths: smoothed share of blocked, log weight."""
     found: dict[str, list[float]] = {}
-    for url, v in zip(urls, y):
-        labels = url.lower().partition("://")[2].partition("/")[0].split(".")
-        for s in {labels[-1], ".".join(labels[-2:])}:
-            found.setdefault(s, []).append(float(v))
-    return {s: ((sum(v) + 1) / (len(v) + 2), float(np.log1p(len(v)))) for s, v in found.items()}
+    for url, v, w in zip(urls, y, weight):
+        host, _, tail = url.lower().partition("://")[2].partition("#")[0].partition("?")[0].partition("/")
+        labels = host.split(".")
+        for s in {labels[-1], ".".join(labels[-2:]), "/" + tail.partition("/")[0]}:
+            at = found.setdefault(s, [0.0, 0.0])
+            at[0] += w * v
+            at[1] += w
+    return {s: ((a + 1) / (n + 2), float(np.log1p(n))) for s, (a, n) in found.items()}
 
 
 class Boosted:
     """Least-loss trees for the logistic loss on features cut at their quantiles."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
         self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, 33)[1:-1])) for c in x.T] if len(x) else []
-        self.first = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+        self.first = float(np.log(((weight * y).sum() + 1) / ((weight * (1 - y)).sum() + 1)))
         self.trees: list[list] = []
         b = self.binned(x)
         f = np.full(len(y), self.first)
         for _ in range(TREES if len(set(y.tolist())) > 1 else 0):
             p = 1 / (1 + np.exp(-f))
             tree: list = []
-            self.grow(tree, b, y - p, p * (1 - p), np.arange(len(y)), DEPTH)
+            self.grow(tree, b, weight * (y - p), weight * p * (1 - p), np.arange(len(y)), DEPTH)
             self.trees.append(tree)
             f += self.walk(tree, b)
 
@@ -121,13 +129,15 @@ class Boosted:
 
 
 def seeds() -> tuple[list[str], list[int]]:
-    """Plain and advertising hosts over the same domains and paths, so that only their words differ."""
+    """Plain and advertising hosts over the same forms, domains and paths, so that only their words differ."""
     out = []
-    for i, (bad, good) in enumerate(zip(SEED_BLOCK, SEED_ALLOW)):
-        for j, domain in enumerate(["example.org", "example.net", "example.com"] * 4):
-            page = [f"/{100 * i + j}", f"/{i + j}.html", f"/{i}?page={j}&ref=x", f"/{j}#top"][j % 4]
-            scheme = "https" if j % 2 else "http"
-            out += [(f"{scheme}://{bad}-{SEED_BLOCK[(i + j) % 10]}.{domain}/en{page}", 1), (f"{scheme}://{good}{'.' if j % 3 else '-'}{SEED_ALLOW[(i + 3 * j) % 10]}.{domain}/en{page}", 0)]
+    for y, names in ((1, SEED_BLOCK), (0, SEED_ALLOW)):
+        for i, name in enumerate(names):
+            for j in range(12):
+                other, domain = names[(i + j + 1) % len(names)], ["example.org", "example.net", "example.com"][j % 3]
+                host = [f"{name}-{other}", f"{name}.{other}", name, f"www.{name}-{other}"][j // 3]
+                page = [f"/{100 * i + j}", f"/{i + j}.html", f"/{i}?page={j}&ref=x", f"/{j}#top"][(i + j) % 4]
+                out.append((f"{'https' if (i + j) % 2 else 'http'}://{host}.{domain}/en{page}", y))
     return [u for u, _ in out], [y for _, y in out]
 
 
@@ -136,22 +146,27 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None) ->
 
     host and path are empty for a null url or one without ://. rule: the longest that fits the
     host or a parent domain and the start of the path, else null. verdict: the rule's, else block
-    where p_block, the trees' probability, is over one half. Learns from at most MOST_ROWS urls
-    decided by a rule (those of least hash, about) and the seeds. Repeated rows and null ids each
+    where p_block, the trees' probability, is over one half. Learns from about MOST_ROWS urls
+    that rules decide and as many others (those of least hash), and the seeds. Repeated rows and null ids each
     give a row.
     """
     rules = RULES if rules is None else rules
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
-    labelled = rows.filter("fit is not null")
-    n = labelled.count()
     place = F.pmod(F.xxhash64(F.lit(11), "url"), F.lit(1 << 20)) / float(1 << 20)
-    got = labelled.filter(place < min(1.0, MOST_ROWS / max(1, n))).select("url", "fit.verdict").orderBy(F.xxhash64("url"), "url").limit(2 * MOST_ROWS).collect()
-    more, marks = seeds()
-    urls, y = [r["url"] for r in got] + more, np.array([r["verdict"] == "block" for r in got] + marks, float)
-    suffixes = suffix_statistics(urls, y)
-    model = pages.sparkSession.sparkContext.broadcast((Boosted(lexical(pd.Series(urls), suffixes), y), suffixes))
+    ruled = F.col("fit").isNotNull()
+    n = rows.groupBy(ruled.alias("r")).count().collect()
+    share = {r["r"]: min(1.0, MOST_ROWS / max(1, r["count"])) for r in n}
+    chosen = place < F.when(ruled, share.get(True, 1.0)).otherwise(share.get(False, 1.0))
+    got = rows.filter(chosen & F.col("url").isNotNull()).select("url", "fit.verdict").orderBy(F.xxhash64("url"), "url").limit(4 * MOST_ROWS).collect()
+    by_rule = [(r["url"], r["verdict"] == "block") for r in got if r["verdict"]]
+    by_word = [(r["url"], block_words(r["url"]) > 0) for r in got if not r["verdict"]]
+    parts = [p for p in (by_rule, by_word, list(zip(*seeds()))) if p]
+    urls, y = [u for p in parts for u, _ in p], np.array([v for p in parts for _, v in p], float)
+    weight = np.concatenate([np.full(len(p), max(map(len, parts)) / len(p)) for p in parts])  # each kind of label counts alike
+    suffixes = suffix_statistics(urls, y, weight)
+    model = pages.sparkSession.sparkContext.broadcast((Boosted(lexical(pd.Series(urls), suffixes), y, weight), suffixes))
 
     @F.pandas_udf("double")
     def p_block(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
