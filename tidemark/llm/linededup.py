@@ -43,7 +43,8 @@ def repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     lines = lines_of(docs)
     order = Window.partitionBy(*KEY).orderBy("pos")
     lines = scratch.table(lines)
-    often = lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line")
+    # written, so that a very common line is split among tasks by Spark's skewed join, which aggregations hide
+    often = scratch.table(lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line"))
     # blank lines do not count; a row that repeats doc_id and text is one document
     numbered = lines.distinct().withColumn("i", F.row_number().over(order).cast("long") - 1).join(often, "line")
     segment = Window.partitionBy(*KEY).orderBy("i")
@@ -77,6 +78,7 @@ def repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
         return rows.select(*KEY, F.array(F.col("pos")).alias("gone")).limit(0)
     found = scratch.table(found)
     earliest = found.groupBy("n", "r", "s").agg(F.min(F.struct(*KEY, "i")).alias("first"), F.count("*").alias("c")).filter("c > 1")
+    earliest = scratch.table(earliest)
     later = found.join(earliest, ["n", "r", "s"]).filter(F.struct(*KEY, "i") > F.col("first"))
     covered = later.select(*KEY, F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("i")).distinct()
     return scratch.table(covered.join(rows.select(*KEY, "i", "pos"), [*KEY, "i"]).groupBy(*KEY).agg(F.array_sort(F.collect_set("pos")).alias("gone")))
