@@ -65,9 +65,14 @@ def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def broadcast_if(df: DataFrame, rows: int, most: int) -> DataFrame:
-    """A broadcast side only below a checked number of rows; else Spark's shuffled join."""
-    return F.broadcast(df) if rows <= most else df
+#: Bytes of a broadcast side at most.
+MOST_BROADCAST = 16 << 20
+
+
+def broadcast_if(df: DataFrame, size: Column, most: int = MOST_BROADCAST) -> DataFrame:
+    """A broadcast side only if its rows' sizes, given in bytes and added up, are below a bound; else Spark's shuffled join."""
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= most else df
 
 
 def words(text: str | None) -> list[bytes]:

@@ -186,4 +186,4 @@ def extract(pages: DataFrame) -> DataFrame:
     votes = votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("score").alias("score"))
     won = votes.groupBy("host").agg(F.max(F.struct("n", "score", "path")).alias("best")).select("host", F.col("best.path").alias("path"))
     won = scratch.table(won)
-    return rows.join(broadcast_if(won, won.count(), 200_000), "host", "left").mapInPandas(again, "page_id long, url string, text string, n_chars long")
+    return rows.join(broadcast_if(won, F.octet_length("host") + F.octet_length("path") + 40), "host", "left").mapInPandas(again, "page_id long, url string, text string, n_chars long")

@@ -100,9 +100,11 @@ def dedup(docs: DataFrame, least: int = 50) -> DataFrame:
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text").cast("string").alias("t"), d.alias("d")).withColumn("h", F.xxhash64("t"))
-    wide = wide.join(broadcast_if(gone, gone.count(), 200_000), KEY, "left")
-    lines = F.split("t", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
+    wide = wide.join(broadcast_if(gone, 4 * F.size("gone") + 40), KEY, "left")
+    # numbers that stay, by a hash set, and then their lines: time grows with the text, however many lines go
+    stay = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x["l"]) - 1), x["gone"])
+    one = F.array(F.struct(F.split("t", "\n", -1).alias("l"), "gone"))
+    kept = F.transform(one, lambda x: F.array_join(F.transform(stay(x), lambda i: x["l"][i]), "\n"))[0]
     wide = wide.withColumn("text", F.when(F.col("gone").isNull(), F.col("t")).otherwise(kept))
     counts = [F.coalesce(F.length("t") - F.length(F.replace("t", F.lit("\n"))) + 1, F.lit(0)).cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_removed")]
     new = {"text": F.col("text")}

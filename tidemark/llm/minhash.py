@@ -203,7 +203,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, width: int, pe
                     b.append(ids[j])
             yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if(chosen, chosen.count(), 500_000), "rep")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if(chosen, F.lit(40)), "rep")
     rows = texts.mapInPandas(sets, "root long, blocks long, node long, shingles binary")
     packed = paired(rows, "root", "node", "blocks").groupBy("root", "i", "j").agg(F.collect_list(F.struct("node", "shingles")).alias("rows")).select("rows")
     return packed.mapInPandas(compare, "a long, b long").distinct()
