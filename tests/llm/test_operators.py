@@ -272,6 +272,16 @@ def test_keys_meet_under_the_distance():
     assert (minhash.keys_of(a) == minhash.keys_of(b)).any(1).all()
 
 
+def test_broadcast_bound(spark):
+    from tidemark.llm.base import MOST_BROADCAST, broadcast_if
+
+    one = spark.createDataFrame([("x" * 100,)], "s string")
+    plan = lambda df: df._jdf.queryExecution().logical().toString()
+    assert "broadcast" in plan(broadcast_if(one, F.octet_length("s")))
+    assert "broadcast" not in plan(broadcast_if(one, F.octet_length("s"), 99))
+    assert "broadcast" in plan(broadcast_if(one.limit(0), F.lit(MOST_BROADCAST)))
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://", "https://EXAMPLE.com/en/1", "http://www.example.com/en/x?y=/es/", "http://a.www.example.com/en/", "http://shop.net/es/1", "http://net/fr/#x", "http://xnet/fr/", "http://b.example.com", "http://c.com/", "http://cheap-pills.example.org/en/1", "https://blog.example.org/en/2", "a://b.org/c://d.com/", "x://h\nost.com/p\n?q"]
     df = spark.createDataFrame([*enumerate(urls), (None, "http://c.com/"), (4, urls[4])], "page_id long, url string").withColumn("host", F.lit("clash"))
@@ -282,6 +292,9 @@ def test_url_filter(spark):
     assert (got[4]["host"], got[4]["path"], got[8]["path"], got[3]["host"], got[14]["host"]) == ("example.com", "/en/1", "/fr/", "", "b.org")
     assert got[12]["verdict"] == "block" and got[13]["verdict"] == "allow" and all(r["verdict"] in ("allow", "block") for r in got.values())
     assert urlfilter.judge(df.limit(0)).count() == 0
+    hosts = [f"http://{w}-{v}.example.org/en/7.html" for names in (urlfilter.SEED_BLOCK, urlfilter.SEED_ALLOW) for w, v in zip(names, names[7:])]
+    found = {r["page_id"]: r["verdict"] for r in urlfilter.judge(spark.createDataFrame([*enumerate(hosts)], "page_id long, url string")).collect()}
+    assert [found[i] for i in range(len(hosts))] == ["block"] * 13 + ["allow"] * 13
 
 
 def test_langid(spark, none):
