@@ -281,3 +281,72 @@ def test_stream(spark, tmp_path):
         q.awaitTermination()
     t.refresh()
     assert t.scan().count() == 2 and t.snapshots().count() == 1
+
+
+def test_manifests_are_pruned(spark, tmp_path, monkeypatch):
+    from tidemark.sources import store
+
+    monkeypatch.setattr(store, "MANIFEST_FILES", 2)
+    schema = T.StructType.fromDDL("a int, p string")
+    t = ManagedTable.create(spark, f"file://{tmp_path}/t", schema, ["p"])
+    rows = spark.range(60).selectExpr("cast(id as int) as a", "case when id % 6 = 5 then null else concat('k', id % 6) end as p").repartition(1)
+    t.append(rows)
+    manifests = t.snapshot()["manifests"]
+    assert len(manifests) == 3 and sum(m["files"] for m in manifests) == t.plan().total == 6
+    fresh = ManagedTable(spark, t.root)
+    plan = fresh.plan("p = 'k3'")
+    assert len(plan.files) == 1 and plan.total == 6 and len(fresh.store.cache) <= 2  # one for the probe
+    assert fresh.scan("p = 'k3' and a > 30").count() == 5 and fresh.scan("p is null").count() == 10
+    assert not ManagedTable(spark, t.root).plan("a > 59").files
+    t.overwrite(rows.where("p = 'k3' and a < 10"), {"p": "k3"})
+    after = t.snapshot()["manifests"]
+    assert len({m["path"] for m in manifests} & {m["path"] for m in after}) == 2 and t.scan().count() == 52  # 60 - 10 + 2
+    t.overwrite(spark.createDataFrame([(1, None)], schema), dynamic=True)
+    assert t.scan("p is null").count() == 1 and t.scan().count() == 43
+    t.overwrite(rows.limit(0))
+    assert t.scan().count() == 0 and t.plan("a > 1").total == 0
+
+
+def test_manifest_bounds_lose_no_row(spark, tmp_path, monkeypatch):
+    from tidemark.sources import store
+
+    monkeypatch.setattr(store, "MANIFEST_FILES", 3)
+    schema = T.StructType.fromDDL(TYPES)
+    for by in ("p", "i32", "d"):
+        t = ManagedTable.create(spark, f"file://{tmp_path}/{by}", schema, [by])
+        whole = spark.createDataFrame(typed_rows(11), schema)
+        t.append(whole.repartition(1))
+        for where in PREDICATES:
+            assert t.scan(where).count() == whole.where(where).count(), (by, where)
+    rest = whole.where("not (d <=> double('NaN'))").count()
+    t.overwrite(whole.limit(0).drop("d"), {"d": "NaN"})
+    assert t.scan().count() == rest < whole.count()
+
+
+def test_names_of_two_parts(spark, session):
+    sales(spark).createOrReplaceTempView("store_sales")
+    session.sql(DDL.format(name="db.out"))
+    session.sql("insert into db.out select * from store_sales")
+    assert count(session.sql("select count(*) from db.out where db.out.ss_sold_date_sk = '0906245' and 'db.out' = 'db.out'")) == 236
+    assert session.last_plan["db.out"][0] < session.last_plan["db.out"][1]
+    assert session.sql("select * from db.`out$snapshots`").count() == 1
+    assert count(session.sql("select count(*) from `DB` . `out` x where x.ss_item_sk > 0")) == 2109
+    session.sql("insert overwrite table db.out partition (ss_sold_date_sk = '0906245') select 1, 1, 1, '09', '0906'")
+    assert count(session.sql("select count(*) from db.out -- db.out\n")) == 2109 - 235
+    at = session.table("db.out").metadata["snapshots"][0]["time"]
+    assert count(session.sql(f"AS OF '{at}' select count(*) from db.out")) == 2109
+    session.sql(DDL.format(name="plainly"))
+    session.sql("insert into default.plainly select * from db.out")
+    assert count(session.sql("select count(*) from default.plainly")) == 2109 - 235
+
+
+def test_commands_see_whole_tables(spark, session, tmp_path):
+    sales(spark).createOrReplaceTempView("store_sales")
+    session.sql(DDL.format(name="whole"))
+    session.sql("insert into whole select * from store_sales")
+    session.sql(f"insert overwrite directory '{tmp_path}/copy' using parquet select * from whole")
+    assert spark.read.parquet(f"{tmp_path}/copy").count() == 2109
+    session.sql("create or replace temp view over_whole as select * from whole where ss_sold_day > ''")
+    assert spark.table("over_whole").count() == 2109
+    assert count(session.sql("select count(*) from whole where ss_item_sk > (select min(ss_item_sk) from whole)")) < 2109
+    assert count(session.sql("with c as (select * from whole) select count(*) from c a left join c b on a.ss_item_sk = -b.ss_item_sk")) == 2109

@@ -101,6 +101,12 @@ def parsed(text: str, kind: T.DataType) -> Any:
     return Decimal(text) if isinstance(kind, T.DecimalType) else int(text)
 
 
+def partition_value(text: str, kind: T.DataType) -> Any:
+    """As parsed, but NaN is a value of its own: files of a NaN partition hold no nulls."""
+    nan = isinstance(kind, (T.FloatType, T.DoubleType)) and text.lower() == "nan"
+    return math.nan if nan else parsed(text, kind)
+
+
 def to_json(value: Any) -> Any:
     return {"d": str(value)} if isinstance(value, Decimal) else {"f": repr(value)} if isinstance(value, float) else value
 

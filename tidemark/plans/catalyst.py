@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.functions.types import comparable, parsed
@@ -93,18 +93,26 @@ def to_predicate(e: Tree, strict: bool) -> Node | None:
     return None
 
 
-def leaf_filters(df: DataFrame, strict: bool = False) -> list[tuple[str, list[str], Node | None]] | None:
+def unexecuted(spark: SparkSession, plan: Any) -> Any:
+    """The execution of a parsed plan that plans commands without running them."""
+    return spark._jsparkSession.sessionState().executePlan(plan, spark._jvm.org.apache.spark.sql.execution.CommandExecutionMode.SKIP())
+
+
+def leaf_filters(spark: SparkSession, execution: Any, strict: bool = False) -> list[tuple[str, list[str], Node | None]] | None:
     """(kind, root paths, predicate) of each leaf of the optimized plan; None if some leaves can't be seen.
 
     The predicate is of the Filter right above the leaf; None there means no filter, that is true.
+    Commands keep queries out of sight.
     """
-    spark = df.sparkSession
     key = "spark.sql.optimizer.inSetConversionThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, "100000")
     try:
-        plan = df._jdf.queryExecution().optimizedPlan()
+        plan = execution.optimizedPlan()
         nodes = json.loads(plan.toJSON())
+        command = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
+        if command.isInstance(plan) or any(n["class"].endswith("Command") for n in nodes):
+            return None
         if plan.subqueriesAll().size() > 0:
             return None
         leaves = plan.collectLeaves()

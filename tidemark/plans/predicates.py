@@ -110,15 +110,24 @@ def expanded(p: Node, dependencies: list[Dependency]) -> Node:
     return p
 
 
+def _ordered(x: Any) -> Any:
+    """Floats in Spark's order: NaN equals itself and exceeds all others."""
+    return (x != x, 0.0 if x != x else x) if isinstance(x, float) else (False, x)
+
+
 def _holds(op: str, x: Any, v: Any) -> bool | None:
     """The predicate on a single known value; None for unknown (null)."""
     if op in ("is_null", "not_null"):
         return (x is None) == (op == "is_null")
+    if op in ("starts", "not_starts"):
+        return None if x is None else x.startswith(v) == (op == "starts")
+    known = x is not None
+    x, v = _ordered(x), [_ordered(y) for y in v] if op in ("in", "not_in") else _ordered(v)
     if op in ("nseq", "not_nseq"):
         return (x == v) == (op == "nseq")
-    if x is None:
+    if not known:
         return None
-    return {"lt": lambda: x < v, "le": lambda: x <= v, "gt": lambda: x > v, "ge": lambda: x >= v, "eq": lambda: x == v, "ne": lambda: x != v, "in": lambda: x in v, "not_in": lambda: x not in v, "starts": lambda: x.startswith(v), "not_starts": lambda: not x.startswith(v)}[op]()
+    return {"lt": lambda: x < v, "le": lambda: x <= v, "gt": lambda: x > v, "ge": lambda: x >= v, "eq": lambda: x == v, "ne": lambda: x != v, "in": lambda: x in v, "not_in": lambda: x not in v}[op]()
 
 
 @dataclass(frozen=True)
