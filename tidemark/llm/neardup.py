@@ -2,11 +2,13 @@
 
 A graph of nearest neighbours starts from cells of random hyperplanes and is refined: whoever
 shares a neighbour is compared, and each vector keeps its best. Vectors whose whole list is above
-the threshold are saturated; their lists are enlarged up to MOST, and what an even larger group
-holds is counted exactly: components of the threshold edges meet in blocks, in double precision,
-which gives each vector's number of links without a row for each link. Recall is audited on a
-bounded sample of vectors against all rows; below the target the descent goes on with longer
-lists and fresh cells.
+the threshold are saturated; their lists are enlarged up to MOST. What is still saturated then may
+have links beyond its list, so it is compared exactly with all vectors of its label that an angle
+bound does not rule out. Components of the threshold edges meet in blocks, in double precision,
+which gives each vector's number of links without a row for each link. Recall is audited on
+bounded samples (any, linked, saturated and nearly linked vectors) against all rows, each sample
+by itself; below the target the descent goes on with longer lists and fresh cells, and where the
+last try misses it all vectors of a label meet in blocks.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ ROUNDS, SETTLED, AUDITED, TARGET, TRIES = 6, 0.002, 256, 0.98, 3
 #: Single precision differs from double precision by less.
 MARGIN, BLOCK = 1e-4, 512
 BITS = 20
+#: Blocks of saturated vectors that a task holds against a block of others; radians that rounding may cost.
+PROBES, SLACK = 256, 1e-4
 
 
 def units(nodes: DataFrame, seed: int) -> DataFrame:
@@ -107,6 +111,72 @@ def refined(old: DataFrame | None, found: DataFrame, threshold: float, start: in
     return lists.select("a", F.explode("l").alias("x"), least.alias("least"), F.when(saturated, F.least(2 * F.col("k"), F.lit(MOST))).otherwise(F.col("k")).alias("k")).select("a", "x.b", "x.sim", "x.fresh", "least", "k")
 
 
+def full(graph: DataFrame, threshold: float, start: int) -> DataFrame:
+    """(node): those whose list may hold only some of their links."""
+    lists = graph.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("size"), F.min("sim").alias("last"))
+    return lists.filter((F.col("size") >= start) & (F.col("last") >= threshold - MARGIN)).select("node")
+
+
+def beyond(unit: DataFrame, comps: DataFrame, saturated: DataFrame, threshold: float, dims: int, scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that connect each saturated vector's component with every other one it has a link to.
+
+    Blocks of a component's saturated vectors have a centre and a radius: by the triangle
+    inequality of angles a vector farther from the centre than radius and threshold has no link there.
+    """
+    reach = math.acos(max(-1.0, threshold - MARGIN)) + SLACK
+    nodes = unit.select("node", "label", "unit").join(comps, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = scratch.table(nodes)
+    chosen = nodes.join(saturated, "node", "left_semi")
+    size = chosen.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    chosen = chosen.join(size, "root").withColumn("probe", F.xxhash64("root", F.pmod(F.xxhash64(F.lit(11), "node"), "blocks"), "label"))
+    member = F.collect_list(F.struct("node", "unit"))
+    probes = scratch.table(chosen.groupBy("probe", "root", "label").agg(member.alias("members")))
+
+    def angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(x @ y.T, -1, 1))
+
+    def stacked(rows: list, name: str) -> np.ndarray:
+        x = np.frombuffer(b"".join(r[name] for r in rows), np.float32).reshape(len(rows), dims).astype(np.float64)
+        return x / np.sqrt((x * x).sum(1))[:, None]
+
+    def balls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for rows in batch["members"]:
+                x = stacked(rows, "unit")
+                c = x.sum(0)
+                c = c / n if (n := np.sqrt(c @ c)) > 1e-6 else x[0]
+                out.append((c.astype(np.float32).tobytes(), float(angles(x, c[None]).max())))
+            yield pd.DataFrame({"probe": batch["probe"], "root": batch["root"], "label": batch["label"], "centre": [c for c, _ in out], "radius": [r for _, r in out]})
+
+    def near_balls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for rows, probed in zip(batch["rows"], batch["probes"]):
+                far = angles(stacked(rows, "unit"), stacked(probed, "centre")) > np.array([p["radius"] for p in probed]) + reach
+                i, j = np.nonzero(~far & (np.array([r["root"] for r in rows])[:, None] != np.array([p["root"] for p in probed])))
+                yield pd.DataFrame({"node": np.array([r["node"] for r in rows])[i], "probe": np.array([p["probe"] for p in probed])[j]})
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for members, rows in zip(batch["members"], batch["rows"]):
+                near = stacked(members, "unit") @ stacked(rows, "unit").T >= threshold - MARGIN
+                linked = np.flatnonzero(near.any(0))
+                once = linked[np.unique(np.array([rows[j]["root"] for j in linked], np.int64), return_index=True)[1]]
+                first = near[:, once].argmax(0) if len(once) else once
+                yield pd.DataFrame({"a": np.array([members[i]["node"] for i in first], np.int64), "b": np.array([rows[j]["node"] for j in once], np.int64)})
+
+    def blocked(df: DataFrame, by: str, key: str, most: int) -> DataFrame:
+        return df.join(df.groupBy(by).agg(F.ceil(F.count("*") / most).cast("long").alias("_n")), by).withColumn("_b", F.pmod(F.xxhash64(F.lit(13), key), "_n")).drop("_n")
+
+    ball = scratch.table(probes.mapInPandas(balls, "probe long, root long, label string, centre binary, radius double"))
+    packs = blocked(ball, "label", "probe", PROBES).groupBy("label", "_b").agg(F.collect_list(F.struct("probe", "root", "centre", "radius")).alias("probes")).drop("_b")
+    others = nodes.join(ball.select("label").distinct(), "label", "left_semi")
+    others = blocked(others, "label", "node", BLOCK).groupBy("label", "_b").agg(F.collect_list(F.struct("node", "root", "unit")).alias("rows"))
+    near = scratch.table(others.join(packs, "label").select("rows", "probes").mapInPandas(near_balls, "node long, probe long"))
+    met = blocked(near, "probe", "node", BLOCK).join(nodes, "node").groupBy("probe", "_b").agg(F.collect_list(F.struct("node", "root", "unit")).alias("rows"))
+    return scratch.table(met.join(probes.select("probe", "members"), "probe").select("members", "rows").mapInPandas(meet, "a long, b long"))
+
+
 def exact(nodes: DataFrame, comps: DataFrame, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(node, n): vectors linked with each node of a component, in double precision; and edges (a, b) that connect them."""
     size = comps.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
@@ -139,11 +209,19 @@ def exact(nodes: DataFrame, comps: DataFrame, threshold: float, scratch: Scratch
     return rows.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("linked")), rows.filter("b is not null").select("a", "b")
 
 
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Recall of links on AUDITED nodes (those of least hash) against all rows."""
-    chosen = nodes.orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(AUDITED).select("node", "label", "v").collect()
-    if not chosen:
+def audit(nodes: DataFrame, counts: DataFrame, graph: DataFrame, saturated: DataFrame, threshold: float) -> float:
+    """Least recall of links against all rows over samples of AUDITED nodes at most.
+
+    Samples: any nodes, those with links, saturated ones, and those without links that come nearest
+    to one. A sample that has no link in truth says nothing.
+    """
+    some = lambda df: [r["node"] for r in df.select("node").orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(AUDITED).collect()]
+    best = graph.groupBy(F.col("a").alias("node")).agg(F.max("sim").alias("best")).join(counts, "node", "left_anti")
+    samples = [some(nodes), some(counts), some(saturated), [r["node"] for r in best.orderBy(F.desc("best"), "node").limit(AUDITED).collect()]]
+    wanted = sorted({x for s in samples for x in s})
+    if not wanted:
         return 1.0
+    chosen = nodes.filter(F.col("node").isin(wanted)).select("node", "label", "v").collect()
     ids, labels = [r["node"] for r in chosen], np.array([r["label"] for r in chosen])
     unit = lambda m: (m := m / np.abs(m).max(1)[:, None]) / np.sqrt((m * m).sum(1))[:, None]
     queries = unit(np.array([r["v"] for r in chosen], np.float64))
@@ -157,8 +235,9 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
         yield pd.DataFrame({"node": ids, "t": total})
 
     truth = nodes.select("node", "label", "n", "v").mapInPandas(run, "node long, t long").groupBy("node").agg(F.sum("t").alias("t"))
-    got = truth.join(counts, "node", "left").agg(F.sum("t").alias("t"), F.sum(F.least("t", F.coalesce("linked", F.lit(0)))).alias("f")).first()
-    return got["f"] / got["t"] if got["t"] else 1.0
+    pairs = {r["node"]: (r["t"], min(r["t"], r["linked"] or 0)) for r in truth.join(counts, "node", "left").collect()}
+    sums = [np.array([pairs[x] for x in s]).reshape(-1, 2).sum(0) for s in samples]
+    return min((float(f / t) for t, f in sums if t), default=1.0)
 
 
 def link(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
@@ -196,11 +275,19 @@ def link(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
                 graph = better
                 if graph.filter("fresh = 1").count() <= SETTLED * total * start:
                     break
-            comps = components(scratch, graph.filter(F.col("sim") >= threshold - MARGIN).select("a", "b"))
+            links = graph.filter(F.col("sim") >= threshold - MARGIN).select("a", "b")
+            comps = components(scratch, links)
+            saturated = scratch.table(full(graph, threshold, start))
+            if not saturated.isEmpty():
+                more = beyond(unit, comps, saturated, threshold, dim, scratch)
+                if not more.isEmpty():
+                    comps = components(scratch, links.union(more))
             counts, edges = exact(own, comps, threshold, scratch)
-            if audit(own, counts, threshold) >= TARGET:
+            if audit(own, counts, graph, saturated, threshold) >= TARGET:
                 break
             start = min(MOST, 2 * start)
+        else:  # missed on the last try: every pair of a label
+            counts, edges = exact(own, own.select("node", F.xxhash64("label").alias("root")), threshold, scratch)
         done.append((counts, edges))
     if not done:
         return keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
