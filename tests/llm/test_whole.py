@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import neardup
+from tidemark.llm import html, neardup
 
 
 def families(n=150, dims=16, seed=1):
@@ -46,3 +46,10 @@ def test_neardup_meets_in_blocks_where_the_last_try_misses(spark, monkeypatch):
     monkeypatch.setattr(neardup, "TRIES", 1)
     monkeypatch.setattr(neardup, "cells", lambda unit: unit.filter("false").select(F.col("node").alias("g"), "node"))
     assert linked(spark, rows) == brute(rows)
+
+
+def test_html_keeps_what_stands_beside_the_largest_part():
+    post = html.Page(f"<body><nav>Home</nav><div class=post><h1>Headline</h1><div class=lead>{'lead ' * 20}</div><div class=body>{'text ' * 75}</div></div><ul><li><a href=/>More of us</a></ul></body>")
+    assert post.main(None).split("\n") == ["Headline", ("lead " * 20).strip(), ("text " * 75).strip()]
+    quoted = html.Page(f"<main><p>Before it<blockquote>{'said ' * 75}</blockquote><p>After it</main>")
+    assert quoted.main(None).split("\n") == ["Before it", ("said " * 75).strip(), "After it"]

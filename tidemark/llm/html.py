@@ -1,7 +1,8 @@
 """Main text of pages by consensus paths of their host.
 
 Each page's elements are scored by the text that they hold outside links and page furniture, and
-vote for the generalised tag-class path of the best container (classes sorted, digits levelled).
+vote for the generalised tag-class path of the best container (classes sorted, digits levelled):
+the innermost one that leaves nothing but furniture and lines of links outside.
 Spark adds up the votes of each host; then every page is extracted anew from the elements on its
 host's winning path, or from its own best one where it has none such.
 """
@@ -22,6 +23,7 @@ from .urlfilter import host_of
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACE = re.compile(r"\s+")
+NO_LETTER = re.compile(r"[\W_]+")
 
 # Kinds of elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,36 +106,47 @@ class Page:
         if name in BLOCKS:
             self.pieces.append((stack[-1], None))
 
-    def goods(self) -> list[float]:
-        """Characters of text that each element holds outside furniture; those in links count against."""
-        out = [0.0] * len(self.tag)
-        linked = [t == "a" for t in self.tag]
+    def goods(self) -> list[int]:
+        """Characters of article text that each element holds: letters and digits outside furniture.
+
+        A line counts unless most of it is link text; what links say in h1 and h2 counts as plain.
+        """
+        out = [0] * len(self.tag)
+        linked, title = [t == "a" for t in self.tag], [t in ("h1", "h2") for t in self.tag]
         for i, p in enumerate(self.parent):
+            title[i] = title[i] or p > 0 and title[p]
             linked[i] = linked[i] or p > 0 and linked[p]
-        for node, text in self.pieces:
-            if text and not self.noise[node]:
-                out[node] += len(text.strip()) * (-1 if linked[node] else 1)
+        line: list[tuple[int, int]] = []
+        for node, text in [*self.pieces, (0, None)]:
+            if text is None:
+                links = sum(n for i, n in line if linked[i] and not title[i])
+                if 2 * links <= sum(n for _, n in line):
+                    for i, n in line:
+                        out[i] += n
+                line = []
+            elif not self.noise[node] and (n := len(NO_LETTER.sub("", text))):
+                line.append((node, n))
         for i in range(len(out) - 1, 0, -1):
             out[self.parent[i]] += out[i]
         return out
 
     def best(self) -> tuple[str, float]:
-        """Path and score of the innermost container that holds most of the page's text."""
-        good, at = self.goods(), 0
+        """Path and score of the innermost container outside which only furniture and links stand."""
+        good = self.goods()
         kids: dict[int, list[int]] = {}
         for i in range(1, len(self.tag)):
             kids.setdefault(self.parent[i], []).append(i)
         top, todo = 0, [0]
-        while todo:
+        while todo and good[0]:
             at = max(todo, key=lambda i: (good[i], -i))
-            if good[at] < 0.7 * good[top] or self.noise[at]:
+            if good[at] < good[0] or self.noise[at]:
                 break
             if self.tag[at] in CONTAINERS or top == 0:
                 top = at
             if self.tag[at] == "article":
                 break
             todo = kids.get(at, [])
-        return self.path[top], good[top]
+        return self.path[top], float(good[top])
 
     def text(self, path: str) -> str:
         """Text of the elements on the path (the page if there are none), a line for each block."""
