@@ -53,3 +53,10 @@ def test_html_keeps_what_stands_beside_the_largest_part():
     assert post.main(None).split("\n") == ["Headline", ("lead " * 20).strip(), ("text " * 75).strip()]
     quoted = html.Page(f"<main><p>Before it<blockquote>{'said ' * 75}</blockquote><p>After it</main>")
     assert quoted.main(None).split("\n") == ["Before it", ("said " * 75).strip(), "After it"]
+
+
+def test_html_leaves_the_path_of_the_host_where_it_holds_a_part():
+    usual, other = f"<div class=post><div class=text>{'here ' * 35}</div>", f"<section>{'there ' * 65}</section></div>"
+    path = html.Page(usual).best()[0]
+    assert html.Page(usual + other).main(path).split("\n") == [("here " * 35).strip(), ("there " * 65).strip()]
+    assert html.Page(usual + "<ul><li><a href=/>More of us</a></ul></div>").main(path) == ("here " * 35).strip()

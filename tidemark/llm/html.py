@@ -4,7 +4,7 @@ Each page's elements are scored by the text that they hold outside links and pag
 vote for the generalised tag-class path of the best container (classes sorted, digits levelled):
 the innermost one that leaves nothing but furniture and lines of links outside.
 Spark adds up the votes of each host; then every page is extracted anew from the elements on its
-host's winning path, or from its own best one where it has none such.
+host's winning path if they hold all that the page's own best one holds, else from that one.
 """
 
 from __future__ import annotations
@@ -168,7 +168,7 @@ class Page:
         own, score = self.best()
         if path is not None and path != own and path in self.path:
             good = self.goods()
-            if sum(g for g, p, i in zip(good, self.path, self.parent) if p == path and (i < 0 or self.path[i] != path)) >= 0.3 * score:
+            if sum(g for g, p, i in zip(good, self.path, self.parent) if p == path and (i < 0 or self.path[i] != path)) >= score:
                 own = path
         return self.text(own)
 
