@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, neardup
+from tidemark.llm import html, minhash, neardup
 
 
 def families(n=150, dims=16, seed=1):
@@ -60,3 +60,19 @@ def test_html_leaves_the_path_of_the_host_where_it_holds_a_part():
     path = html.Page(usual).best()[0]
     assert html.Page(usual + other).main(path).split("\n") == [("here " * 35).strip(), ("there " * 65).strip()]
     assert html.Page(usual + "<ul><li><a href=/>More of us</a></ul></div>").main(path) == ("here " * 35).strip()
+
+
+def test_one_row_of_each_group_stays(spark):
+    long = [" ".join(f"w{k}x{i}" for i in range(200)) for k in range(4)]
+    rows = [(1, long[0], "a"), (1, long[0], "b"), (1, long[0], "b"), (2, long[0] + " tail", "a")]  # repeats, a near copy
+    rows += [(2, long[1], "a"), (3, long[1].upper(), "a")]  # 2 stays with its other text
+    rows += [(None, long[0], "a"), (None, long[2], "a"), (None, long[2], "a"), (None, long[2] + " tail", "b")]
+    rows += [(5, "", "a"), (6, "", "a"), (6, "", "a"), (7, None, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    got = minhash.first_of_groups(df)
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert got.columns == df.columns
+    third = [k for k in kept if k[0] is None]
+    assert len(third) == 1 and third[0][1] in (long[2], long[2] + " tail")
+    assert sorted((k for k in kept if k[0] is not None), key=str) == sorted([(1, long[0]), (2, long[1]), (5, ""), (6, ""), (7, None)], key=str)
+    assert sorted(kept, key=str) == sorted(((r["doc_id"], r["text"]) for r in minhash.first_of_groups(df.repartition(2)).collect()), key=str)

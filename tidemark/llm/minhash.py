@@ -235,11 +235,29 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
 
 def first_of_groups(docs: DataFrame) -> DataFrame:
-    """Pipeline filter: of each group of near-duplicates the row with the smallest doc_id stays.
+    """Pipeline filter: of each group of near-duplicates (five words, 0.8) exactly one row stays.
 
-    Five words, 0.8. Of rows that repeat both doc_id and text one stays.
+    Rows are judged one by one, those with a null doc_id too: the smallest doc_id stays, null last,
+    then the least hash of text and of row. A text that is null or has no word is in no group; of
+    rows that repeat such a text and its doc_id one stays.
     """
-    keep = link(docs).filter("kept").select("doc_id").distinct()
-    null = docs.filter("doc_id is null")
-    some = docs.filter("doc_id is not null").join(keep, "doc_id", "left_semi").select(docs.columns)
-    return some.unionByName(null)
+    scratch = Scratch(docs.sparkSession, "minhash")
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    name = F.when(worded, F.xxhash64(text)).otherwise(F.xxhash64(F.lit(1), text.isNull(), text, id_.isNull(), id_))
+    rows = docs.select(name.alias("name"), id_.alias("id"), text.alias("t"), row.alias("row"))
+    # equal texts first: only those that repeat are shuffled
+    repeated = scratch.table(rows.groupBy("name").count().filter("count > 1").select("name"))
+    side = broadcast_if(repeated, F.lit(8))
+    order = F.struct(F.col("id").isNull(), "id", F.xxhash64("row"))
+    one = rows.join(side, "name", "left_semi").groupBy("name").agg(F.min_by(F.struct("id", "t", "row"), order).alias("x"))
+    one = scratch.table(one.select("name", "x.id", "x.t", "x.row"))
+    rows = rows.join(side, "name", "left_anti").unionByName(one)
+    found = link(rows.select(F.col("name").alias("doc_id"), F.col("t").alias("text"))).select(F.col("doc_id").alias("name"), "component_id")
+    # groups of one lose nothing
+    found = scratch.table(found)
+    several = found.join(found.groupBy("component_id").count().filter("count > 1"), "component_id").join(rows.select("name", "id"), "name")
+    first = several.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "name"))["name"].alias("stays"))
+    lost = scratch.table(several.join(first, "component_id").filter("name <> stays").select("name"))
+    return rows.join(broadcast_if(lost, F.lit(8)), "name", "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])
