@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, minhash, neardup
+from tidemark.llm import html, langid, minhash, neardup
 
 
 def families(n=150, dims=16, seed=1):
@@ -76,3 +76,15 @@ def test_one_row_of_each_group_stays(spark):
     assert len(third) == 1 and third[0][1] in (long[2], long[2] + " tail")
     assert sorted((k for k in kept if k[0] is not None), key=str) == sorted([(1, long[0]), (2, long[1]), (5, ""), (6, ""), (7, None)], key=str)
     assert sorted(kept, key=str) == sorted(((r["doc_id"], r["text"]) for r in minhash.first_of_groups(df.repartition(2)).collect()), key=str)
+
+
+def test_every_language_is_learned(spark):
+    r = np.random.default_rng(3)
+    word = lambda k: "".join(chr(0x4E00 + 8 * k + i) for i in r.integers(0, 8, 3))
+    text = lambda k, n: " ".join(word(k) for _ in range(n))
+    rows = [(100 * k + i, text(k, 20), f"l{k:02}" if i < 6 else None) for k in range(70) for i in range(8)]
+    rows += [(9000 + i, "1 " * 60000 + text(80, 13000), "long") for i in range(3)] + [(9100, text(80, 20), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x["doc_id"]: x["lang_pred"] for x in langid.identify(df, F.lit(False)).collect()}
+    assert [got[100 * k + i] for k in range(70) for i in (6, 7)] == [f"l{k:02}" for k in range(70) for _ in (6, 7)]
+    assert got[9100] == "long"

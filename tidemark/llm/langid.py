@@ -13,29 +13,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import remainder, small_batches
 
-GRAMS, BITS = 3, 18
-#: Bounds of the fit: labelled rows a language (about), languages (the most frequent), landmarks,
-#: characters of a text that the fit may use (longer ones are left to prediction, which has no bound).
-MOST_ROWS, MOST_LANGS, MOST_LANDMARKS, MOST_CHARS = 500, 60, 320, 50_000
+GRAMS, BITS, LEAST_BITS = 3, 18, 14
+#: Bounds of the fit: labelled rows a language (about) and in all, landmarks (one a language at least),
+#: characters of a text that the fit may use (a longer one counts, from its first letter on, where
+#: its language has no shorter; prediction has no bound), weights. All languages are learned: the
+#: more they are, the fewer are rows of each and places.
+MOST_ROWS, ALL_ROWS, LEAST_ROWS, MOST_LANDMARKS, MOST_CHARS, MOST_WEIGHTS = 500, 30_000, 4, 320, 50_000, 1 << 24
 RIDGE = 1e-2
 
 
-def grams(text: str) -> np.ndarray:
+def bits_for(langs: int) -> int:
+    """Bits of a place: BITS up to 64 languages, one less whenever they double."""
+    bits = BITS
+    while bits > LEAST_BITS and langs << bits > MOST_WEIGHTS:
+        bits -= 1
+    return bits
+
+
+def rows_for(langs: int) -> int:
+    """Labelled rows of each language."""
+    return max(LEAST_ROWS, min(MOST_ROWS, ALL_ROWS * min(MOST_LANDMARKS, langs) // langs // langs))
+
+
+def grams(text: str, bits: int = BITS) -> np.ndarray:
     """Places of the distinct n-grams of the whole lower-cased text."""
     c = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
-    seen = np.zeros(1 << BITS, bool)
+    seen = np.zeros(1 << bits, bool)
     h = np.zeros(len(c), np.uint32)
     for n in range(1, GRAMS + 1):
         if len(c) < n:
             break
         h = (h[: len(c) - n + 1] * np.uint32(0x01000193)) ^ c[n - 1 :]
         mixed = (h + np.uint32(n)) * np.uint32(0x9E3779B1)
-        seen[(mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(32 - BITS)] = True
+        seen[(mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA77) >> np.uint32(32 - bits)] = True
     return np.flatnonzero(seen)
 
 
@@ -43,13 +58,13 @@ class Model:
     """labels: the languages; weights: a row for each place, a column for each language."""
 
     def __init__(self, labels: list[str], weights: np.ndarray):
-        self.labels, self.weights = labels, weights
+        self.labels, self.weights, self.bits = labels, weights, len(weights).bit_length() - 1
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """One row a text: the regressions' values, about 1 for the text's language and -1 for others."""
         out = np.zeros((len(texts), len(self.labels)), np.float32)
         for i, t in enumerate(texts):
-            g = grams(t)
+            g = grams(t, self.bits)
             out[i] = self.weights[g].sum(0) / np.sqrt(max(1, len(g)))
         return out
 
@@ -58,12 +73,15 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     labels = sorted(set(langs))
     if not labels:
         return Model([], np.zeros((1 << BITS, 0), np.float32))
-    sets = [grams(t).astype(np.int32) for t in texts]
+    bits = bits_for(len(labels))
+    sets = [grams(t, bits).astype(np.int32) for t in texts]
     root = np.sqrt([max(1, len(s)) for s in sets])
-    by = {k: [i for i, x in enumerate(langs) if x == k] for k in labels}
-    marks = [i for j in range(len(texts)) for k in labels if j < len(by[k]) for i in [by[k][j]]][:MOST_LANDMARKS]
+    by = {k: [] for k in labels}
+    for i, x in enumerate(langs):
+        by[x].append(i)
+    marks = [by[k][j] for j in range(max(map(len, by.values()))) for k in labels if j < len(by[k])][: max(MOST_LANDMARKS, len(labels))]
     places = np.unique(np.concatenate([sets[i] for i in marks]))  # other places meet no landmark
-    row = np.full(1 << BITS, -1, np.int32)
+    row = np.full(1 << bits, -1, np.int32)
     row[places] = np.arange(len(places))
     presence = np.zeros((len(places), len(marks)), np.float32)
     for j, i in enumerate(marks):
@@ -77,22 +95,30 @@ def fit(texts: list[str], langs: list[str]) -> Model:
     weigh = np.sqrt(len(langs) / np.array([len(by[x]) for x in langs]))[:, None]  # languages count alike
     x, y = features * weigh, target * weigh
     ridge = np.linalg.solve(x.T @ x + RIDGE * len(langs) * np.eye(x.shape[1]) / x.shape[1], x.T @ y)
-    weights = np.zeros((1 << BITS, len(labels)), np.float32)
+    weights = np.zeros((1 << bits, len(labels)), np.float32)
     weights[places] = presence @ (half @ ridge).astype(np.float32)
     return Model(labels, weights)
 
 
 def sample(docs: DataFrame, chosen: Column) -> tuple[list[str], list[str]]:
-    """About MOST_ROWS labelled rows of each language: those whose id's hash is least."""
-    rows = docs.filter(chosen & F.col("lang").isNotNull() & (F.length("text") <= MOST_CHARS))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+    """About rows_for labelled rows of each language, one at least: those whose hash is least."""
+    short = F.length("text") <= MOST_CHARS
+    rows = docs.filter(chosen & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", short.alias("short"), F.xxhash64(F.lit(7), "doc_id", "text").alias("h"))
+    counts = rows.groupBy("lang", "short").agg(F.count("*").alias("n"), F.min("h").alias("least")).collect()
     if not counts:
         return [], []
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, MOST_ROWS / r["count"]))])
-    place = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    got = rows.filter(place < share[F.col("lang")]).select(F.xxhash64("doc_id", "text").alias("h"), "lang", "text")
-    got = got.orderBy("h", "lang").limit(2 * MOST_ROWS * MOST_LANGS).collect()
-    got = [r for r in got if any(map(str.isalpha, r["text"]))]
+    use = {r["lang"]: r for r in sorted(counts, key=lambda r: r["short"])}  # short ones where there are any
+    most = rows_for(len(use))
+    shares = [(k, r["short"], min(1.0, 1.5 * most / r["n"]), r["least"]) for k, r in use.items()]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, short boolean, share double, least long")
+    place = F.pmod("h", F.lit(1 << 20)) / float(1 << 20)
+    got = rows.join(F.broadcast(shares), ["lang", "short"]).filter((place < F.col("share")) | (F.col("h") == F.col("least")))
+    part = F.when(F.col("short"), F.col("text")).otherwise(F.expr(f"substring(text, regexp_instr(text, '\\\\p{{L}}'), {MOST_CHARS})"))
+    got = got.select("lang", "h", part.alias("text")).dropDuplicates(["lang", "h"])
+    first = Window.partitionBy("lang").orderBy("h")
+    got = got.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= most).select("h", "lang", "text").collect()
+    got = sorted((r for r in got if any(map(str.isalpha, r["text"]))), key=lambda r: (r["h"], r["lang"]))
     return [r["text"] for r in got], [r["lang"] for r in got]
 
 
@@ -103,7 +129,8 @@ def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     an input of a prediction. lang_pred is `und` with score 0 where the text is null or has no
     letter, or where no labelled row exists; else score is the winner's regression value moved to
     0..1; ties go to the language first by code point. Columns of docs that are called lang_pred
-    or score are replaced. No shuffle; the model is bounded by 2**BITS places x MOST_LANGS.
+    or score are replaced. Only the sample is shuffled; the model has MOST_WEIGHTS
+    weights up to 1024 languages, then 2**LEAST_BITS a language.
     """
     small_batches(docs.sparkSession)
     held_out = remainder(F.col("doc_id"), 4) == 2 if held_out is None else held_out
