@@ -88,3 +88,8 @@ def test_every_language_is_learned(spark):
     got = {x["doc_id"]: x["lang_pred"] for x in langid.identify(df, F.lit(False)).collect()}
     assert [got[100 * k + i] for k in range(70) for i in (6, 7)] == [f"l{k:02}" for k in range(70) for _ in (6, 7)]
     assert got[9100] == "long"
+
+
+def test_language_stage_keeps_letters_where_nothing_is_learned(spark):
+    df = spark.createDataFrame([(1, "plain words", None), (2, "\u00e9", None), (3, "12 !", None), (4, None, None)], "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in langid.confident(df).collect()) == [1, 2]

@@ -156,7 +156,7 @@ def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
 
 
 def confident(docs: DataFrame) -> DataFrame:
-    """Pipeline filter: documents whose text has a language; those judged `und` go."""
+    """Pipeline filter: documents whose text has a letter, even where no language could be learned."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = identify(docs.select("doc_id", "text", "lang", row)).filter("lang_pred <> 'und'")
+    kept = identify(docs.select("doc_id", "text", "lang", row)).filter((F.col("lang_pred") != "und") | F.col("text").rlike(r"\p{L}"))
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
