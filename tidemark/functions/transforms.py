@@ -6,8 +6,9 @@ import re
 from decimal import Decimal
 from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,15 +33,44 @@ def murmur3(data: bytes) -> int:
     return h - (1 << 32) if h >> 31 else h
 
 
-def hashed(value: Any, kind: T.DataType) -> int:
+def murmur3_batch(values: list[bytes]) -> np.ndarray:
+    """murmur3 of many values at once: step i takes the i-th word of all that have one; as unsigned numbers in 64 bits."""
+    size = np.array([len(v) for v in values], np.int64)
+    out = np.zeros(len(values), np.int64)
+    by_size = np.argsort(size, kind="stable")
+    for at in np.array_split(by_size, max(1, len(values) // 1024)):  # values of like size share a matrix
+        if not len(at):
+            continue
+        n = size[at]
+        words = int(n.max()) // 4 + 1
+        raw = np.frombuffer(b"".join(values[i].ljust(4 * words, b"\0") for i in at), "<u4").reshape(len(at), words)
+        h = np.zeros(len(at), np.uint32)
+        turn = lambda x, k: (x << np.uint32(k)) | (x >> np.uint32(32 - k))
+        for i in range(words):
+            k = turn(raw[:, i] * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+            whole, tail = n >= 4 * i + 4, (n > 4 * i) & (n < 4 * i + 4)
+            h = np.where(whole, turn(h ^ k, 13) * np.uint32(5) + np.uint32(0xE6546B64), np.where(tail, h ^ k, h))
+        h ^= n.astype(np.uint32)
+        h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+        h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+        out[at] = h ^ (h >> np.uint32(16))
+    return out
+
+
+def bytes_of(value: Any, kind: T.DataType) -> bytes:
+    """What is hashed for a bucket: text, bytes, the shortest big-endian unscaled decimal, else a little-endian long."""
     if isinstance(kind, T.StringType):
-        return murmur3(value.encode())
+        return value.encode()
     if isinstance(kind, T.BinaryType):
-        return murmur3(bytes(value))
+        return bytes(value)
     if isinstance(kind, T.DecimalType):
         unscaled = int(Decimal(value).scaleb(kind.scale))
-        return murmur3(unscaled.to_bytes((unscaled + (unscaled < 0)).bit_length() // 8 + 1, "big", signed=True))
-    return murmur3(int(value).to_bytes(8, "little", signed=True))
+        return unscaled.to_bytes((unscaled + (unscaled < 0)).bit_length() // 8 + 1, "big", signed=True)
+    return int(value).to_bytes(8, "little", signed=True)
+
+
+def hashed(value: Any, kind: T.DataType) -> int:
+    return murmur3(bytes_of(value, kind))
 
 
 class Transform:
@@ -92,7 +122,7 @@ class Transform:
         return d.year - 1970 if self.name == "year" else (d.year - 1970) * 12 + d.month - 1
 
     def column(self, c: Column) -> Column:
-        """The image of a column, by built-in functions but for bucket."""
+        """The image of a column, by built-in functions but for buckets of texts, bytes and decimals."""
         if self.name == "identity":
             return c
         if self.name == "truncate":
@@ -103,14 +133,7 @@ class Transform:
                 return (c - F.pmod(c, F.lit(unit))).cast(self.source)
             return (c - F.pmod(c, F.lit(self.width))).cast(self.source)
         if self.name == "bucket":
-            kind, width = self.source, self.width
-            plain = F.unix_date(c) if isinstance(kind, T.DateType) else F.unix_micros(c.cast("timestamp")) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else c
-
-            @F.pandas_udf("int")
-            def bucket(s: pd.Series) -> pd.Series:
-                return s.map(lambda v: None if pd.isna(v) else (hashed(v, kind) & 0x7FFFFFFF) % width).astype("Int32")
-
-            return bucket(plain)
+            return self.bucket(c)
         if self.name == "year":
             return F.year(c) - 1970
         if self.name == "month":
@@ -119,6 +142,27 @@ class Transform:
             return F.datediff(c, F.lit("1970-01-01").cast("date"))
         return F.floor(F.unix_seconds(c.cast("timestamp")) / 3600).cast("int")
 
+    def bucket(self, c: Column) -> Column:
+        """Whole numbers and times by the host's own murmur3; its hash of bytes is another one, so these go by batches."""
+        kind, width = self.source, self.width
+        if not isinstance(kind, (T.StringType, T.BinaryType, T.DecimalType)):
+            plain = F.unix_date(c) if isinstance(kind, T.DateType) else F.unix_micros(c.cast("timestamp")) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else c
+            jvm = SparkSession.active()._jvm
+            columns, expressions = jvm.org.apache.spark.sql.classic.ExpressionUtils, jvm.org.apache.spark.sql.catalyst.expressions
+            one = jvm.scala.jdk.javaapi.CollectionConverters.asScala([columns.expression(plain.cast("long")._jc)]).toSeq()
+            h = Column(columns.column(expressions.Murmur3Hash(one, 0)))
+            return F.when(c.isNotNull(), F.pmod(h.bitwiseAND(0x7FFFFFFF), F.lit(width)).cast("int"))
+
+        @F.pandas_udf("int")
+        def of_bytes(s: pd.Series) -> pd.Series:
+            known = s.notna().to_numpy()
+            out = (murmur3_batch([bytes_of(v, kind) for v in s[known]]) & 0x7FFFFFFF) % width
+            full = np.zeros(len(s), np.int64)
+            full[known] = out
+            return pd.Series(full, dtype="Int32").mask(~known)
+
+        return of_bytes(c)
+
     def _step(self, v: Any) -> Any:
         return Decimal(1).scaleb(-self.source.scale) if isinstance(v, Decimal) else 1
 

@@ -99,7 +99,7 @@ def unexecuted(spark: SparkSession, plan: Any) -> Any:
 
 
 def leaf_filters(spark: SparkSession, execution: Any, strict: bool = False) -> list[tuple[str, list[str], Node | None]] | None:
-    """(kind, root paths, predicate) of each leaf of the optimized plan; None if some leaves can't be seen.
+    """(kind, root paths, predicate) of each leaf of the optimized plan and of its subqueries; None if some can't be seen.
 
     The predicate is of the Filter right above the leaf; None there means no filter, that is true.
     Commands keep queries out of sight.
@@ -109,15 +109,18 @@ def leaf_filters(spark: SparkSession, execution: Any, strict: bool = False) -> l
     spark.conf.set(key, "100000")
     try:
         plan = execution.optimizedPlan()
-        nodes = json.loads(plan.toJSON())
+        inner = plan.subqueriesAll()
+        plans = [plan, *(inner.apply(i) for i in range(inner.size()))]
+        seen = [(json.loads(p.toJSON()), p.collectLeaves()) for p in plans]
         command = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
-        if command.isInstance(plan) or any(n["class"].endswith("Command") for n in nodes):
+        if any(command.isInstance(p) for p in plans) or any(n["class"].endswith("Command") for nodes, _ in seen for n in nodes):
             return None
-        if plan.subqueriesAll().size() > 0:
-            return None
-        leaves = plan.collectLeaves()
     finally:
         spark.conf.set(key, before)
+    return [leaf for nodes, leaves in seen for leaf in _leaves_of(nodes, leaves, strict)]
+
+
+def _leaves_of(nodes: list[dict], leaves: Any, strict: bool) -> list[tuple[str, list[str], Node | None]]:
     out: list[tuple[str, list[str], Node | None]] = []
 
     def walk(t: Tree, above: Tree | None) -> None:

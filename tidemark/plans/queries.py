@@ -8,12 +8,14 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.transforms import Transform
 from tidemark.operators.table import ManagedTable
+from tidemark.streaming.sink import append_stream
 
 from .session import ManagedSession
 
@@ -22,13 +24,18 @@ _tables: dict[tuple, ManagedTable] = {}
 
 @functools.cache
 def _own_folder() -> str:
+    """A folder for sessions that name none; only where driver and executors are one process."""
     folder = tempfile.TemporaryDirectory(prefix="tidemark-")
     atexit.register(folder.cleanup)
     return f"file://{folder.name}"
 
 
 def shared(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    if own := spark.conf.get("spark.checkpoint.dir", None):
+        return own.rstrip("/")
+    if not spark.sparkContext.master.partition("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+    return _own_folder()
 
 
 def plain(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -164,6 +171,157 @@ def set_except(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scenario(spark, sf_dir, SC1).scan(columns=["o_orderkey"]).exceptAll(scenario(spark, sf_dir, SC5).scan(columns=["o_orderkey"]))
 
 
+def fresh(s: ManagedSession, columns: str, options: str = "") -> str:
+    """A new managed table by o_year; its name."""
+    name = f"t_{uuid.uuid4().hex[:12]}"
+    s.sql(f"create table {name} ({columns}) using parquet options (addTableManagement 'true', columnDependencies 'o_ym=o_year:truncate[4]'{options}) partitioned by (o_year)")
+    return name
+
+
+NARROW = "o_orderkey bigint, o_totalprice double, o_ym string, o_year string"
+
+
+def _filled(statements: str, then: str, options: str = "", conf: dict[str, str] | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    """Statements over a new table {t} beside orders_m, and a query of it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = _session(spark, sf_dir, SC1)
+        t = fresh(s, NARROW, options)
+        before = {k: spark.conf.get(k) for k in conf or {}}
+        for k, v in (conf or {}).items():
+            spark.conf.set(k, v)
+        try:
+            for statement in statements.split(";"):
+                s.sql(statement.strip().format(t=t))
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        return s.sql(then.format(t=t))
+
+    return run
+
+
+def _counted(text: str, *filters: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Rows of a statement under later filters, and files that it reads of orders_m, of how many."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        s = _session(spark, sf_dir, SC1)
+        df = s.sql(text)
+        for f in filters:
+            df = df.where(f)
+        files, total, _ = s.last_plan["orders_m"]
+        return df.agg(F.count("*").alias("n")).select("n", F.lit(files).cast("long").alias("files"), F.lit(total).cast("long").alias("total"))
+
+    return run
+
+
+def names_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name that another session made is found, and is gone after DROP TABLE."""
+    s = _session(spark, sf_dir, SC1)
+    t = fresh(s, NARROW)
+    s.sql(f"insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m where o_year = '1996'")
+    other = _session(spark, sf_dir, SC1)
+    seen = other.sql(f"select count(*) from {t}").first()[0]
+    other.sql(f"drop table {t}")
+    s.sync()
+    return spark.createDataFrame([(seen, t in s.tables)], "seen long, left boolean")
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a stream, a snapshot for each micro-batch."""
+    rows = source(spark, sf_dir)
+    name = uuid.uuid4().hex
+    t = ManagedTable.create(spark, f"{shared(spark)}/tidemark/stream-{name}", rows.schema, ["o_year"], "o_ym=o_year:truncate[4]")
+    stream = spark.readStream.schema(plain(spark, sf_dir, "orders").schema).parquet(f"{sf_dir}/orders*.parquet")
+    stream = stream.withColumns({"o_ym": F.date_format("o_orderdate", "yyyyMM"), "o_year": F.date_format("o_orderdate", "yyyy")})
+    append_stream(stream, t, f"{shared(spark)}/tidemark/checkpoint-{name}").trigger(availableNow=True).start().awaitTermination()
+    t.refresh()
+    return t.scan().groupBy("o_year").agg(F.count("*").alias("n"))
+
+
+def two_tables_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AS OF holds for every table of its statement."""
+    s = _session(spark, sf_dir, SC2)
+    first = s.tables["orders_m"].metadata["snapshots"][0]["time"]
+    t = fresh(s, NARROW)
+    for _ in range(2):
+        s.sql(f"insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m where o_year = '1996'")
+    second = s.tables[t].metadata["snapshots"][0]["time"]
+    both = s.sql(f"AS OF '{second}' select (select count(*) from orders_m) as n, (select count(*) from {t}) as m")
+    return both.withColumn("before", F.lit(first < second))
+
+
+def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = scenario(spark, sf_dir, SC5).statistics()
+    return spark.createDataFrame([(got["files"], got["rows"], got["bytes"] > 0)], "files long, n long, sized boolean")
+
+
+def save_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows after each save mode in turn on one table."""
+    rows = one_file(source(spark, sf_dir).where("o_year = '1996'"))
+    t = ManagedTable.create(spark, f"{shared(spark)}/tidemark/modes-{uuid.uuid4().hex}", rows.schema, ["o_year"])
+    out = []
+    for i, mode in enumerate(("error", "append", "ignore", "overwrite", "error")):
+        try:
+            t.insert(rows, mode)
+            failed = False
+        except FileExistsError:
+            failed = True
+        out.append((i, mode, t.statistics()["rows"], failed))
+    return spark.createDataFrame(out, "i int, mode string, n long, failed boolean")
+
+
+def transform_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = lambda k, kind, c: Transform(k, kind).column(c)
+    day, cents = F.col("o_orderdate").cast("date"), F.round("o_totalprice", 2).cast("decimal(18,2)")
+    return scenario(spark, sf_dir, SC1).scan().select(
+        "o_orderkey", of("identity", T.StringType(), F.col("o_orderstatus")).alias("i"), of("hour", T.TimestampNTZType(), F.col("o_orderdate")).cast("long").alias("h"),
+        of("year", T.DateType(), day).cast("int").alias("y"), of("month", T.DateType(), day).cast("int").alias("m"), of("day", T.DateType(), day).cast("int").alias("d"),
+        of("truncate[500]", T.DecimalType(18, 2), cents).cast("double").alias("td"),
+    )
+
+
+def by_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    @F.pandas_udf("double")
+    def taxed(price: pd.Series) -> pd.Series:
+        return price * 2
+
+    return scenario(spark, sf_dir, SC1).scan("o_year = '1996'").select("o_orderkey", taxed("o_totalprice").alias("x"))
+
+
+def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Managed tables of other formats: rows of each, pruned by partition."""
+    out = []
+    for kind in ("orc", "json", "csv"):
+        rows = one_file(source(spark, sf_dir).select("o_orderkey", "o_year"))
+        t = ManagedTable.create(spark, f"{shared(spark)}/tidemark/format-{uuid.uuid4().hex}", rows.schema, ["o_year"], file_format=kind)
+        t.append(rows)
+        out.append((kind, t.scan("o_year = '1996'").count(), len(t.plan("o_year = '1996'").files)))
+    return spark.createDataFrame(out, "kind string, n long, files long")
+
+
+#: murmur3 of eight little-endian bytes in whole-number arithmetic.
+_M = 4294967296
+
+
+def _bucket_sql(width: int) -> str:
+    turn = lambda x, n: f"((({x}) * {1 << n}) % {_M} + ({x}) // {1 << (32 - n)})"
+    mixed = lambda k: f"(({turn(f'((({k}) * 3432918353) % {_M})', 15)} * 461845907) % {_M})"
+    # a step a subquery, so that no expression stands twice
+    steps = [
+        ("k1", f"select cast(o_orderkey % {_M} as hugeint) as lo, cast(o_orderkey // {_M} as hugeint) as hi from orders"),
+        ("k2", f"select {mixed('lo')} as a, {mixed('hi')} as b from k1"),
+        ("k3", f"select ({turn('a', 13)} * 5 + 3864292196) % {_M} as h, b from k2"),
+        ("k4", "select cast(xor(cast(h as bigint), cast(b as bigint)) as hugeint) as h from k3"),
+        ("k5", f"select ({turn('h', 13)} * 5 + 3864292196) % {_M} as h from k4"),
+        ("k6", "select cast(xor(cast(h as bigint), 8) as bigint) as h from k5"),
+        ("k7", f"select (cast(xor(h, h // 65536) as hugeint) * 2246822507) % {_M} as h from k6"),
+        ("k8", f"select (cast(xor(cast(h as bigint), cast(h // 8192 as bigint)) as hugeint) * 3266489909) % {_M} as h from k7"),
+        ("k9", "select xor(cast(h as bigint), cast(h // 65536 as bigint)) as h from k8"),
+    ]
+    return "with " + ", ".join(f"{n} as ({q})" for n, q in steps) + f" select cast((h % 2147483648) % {width} as integer) as b, count(*) as n from k9 group by 1"
+
+
 _COUNT = "select count(*) as n from orders_m"
 _BY_YEAR = "select o_year, count(*) as n from orders_m group by o_year"
 _KEYS = ["o_orderkey"]
@@ -208,7 +366,35 @@ _ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "q_dep_not": (_sql(SC1, f"{_COUNT} where not (o_ym='199603')"), f"select count(*) as n from {M} where not (o_ym='199603')"),
     "q_transform_truncate": (transform_truncate, "select o_orderkey, substr(o_orderpriority,1,2) as ts, o_orderkey-(((o_orderkey%10)+10)%10) as tl from orders"),
     "q_transform_time": (transform_time, "select o_orderkey, cast(year(o_orderdate)-1970 as integer) as y, cast((year(o_orderdate)-1970)*12+month(o_orderdate)-1 as integer) as m, cast(date_diff('day', date '1970-01-01', cast(o_orderdate as date)) as integer) as d from orders"),
-    "q_transform_bucket": (bucket_counts, None),
+    "q_transform_bucket": (bucket_counts, _bucket_sql(8)),
+    "q_transform_more": (transform_more, "select o_orderkey, o_orderstatus as i, cast(floor(epoch(o_orderdate)/3600) as bigint) as h, cast(year(o_orderdate)-1970 as integer) as y, cast((year(o_orderdate)-1970)*12+month(o_orderdate)-1 as integer) as m, cast(date_diff('day', date '1970-01-01', cast(o_orderdate as date)) as integer) as d, cast(floor(round(o_totalprice,2)/5)*5 as double) as td from orders"),
+    "q_insert_columns": (_filled("insert into {t} (o_totalprice, o_year, o_orderkey) select o_totalprice, o_year, o_orderkey from orders_m where o_year = '1996'", "select * from {t}"), f"select o_orderkey, o_totalprice, cast(null as varchar) as o_ym, o_year from {M} where o_year='1996'"),
+    "q_insert_by_name": (_filled("insert into {t} by name select o_year, o_ym, o_totalprice, o_orderkey from orders_m where o_year = '1996'; insert into {t} by name select '1999' as o_year, o_orderkey from orders_m where o_year = '1997'", "select * from {t}"), f"select o_orderkey, o_totalprice, o_ym, o_year from {M} where o_year='1996' union all select o_orderkey, null, null, '1999' from {M} where o_year='1997'"),
+    "q_with_insert": (_filled("with c as (select * from orders_m where o_ym = '199603') insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from c", "select * from {t}"), f"select o_orderkey, o_totalprice, o_ym, o_year from {M} where o_ym='199603'"),
+    "q_multi_insert": (_filled("from orders_m insert into {t} select o_orderkey, o_totalprice, o_ym, o_year where o_year = '1996' insert into {t} select o_orderkey, 0, o_ym, o_year where o_year = '1997'", "select * from {t}"), f"select o_orderkey, case when o_year='1996' then o_totalprice else 0 end as o_totalprice, o_ym, o_year from {M} where o_year in ('1996','1997')"),
+    "q_dynamic_conf": (_filled("insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m; insert overwrite table {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m where o_year = '1996' and o_totalprice < 100000", "select * from {t}", conf={"spark.sql.sources.partitionOverwriteMode": "dynamic"}), f"select o_orderkey, o_totalprice, o_ym, o_year from {M} where o_year<>'1996' or o_totalprice<100000"),
+    "q_dynamic_option": (_filled("insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m; insert overwrite table {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m where o_year = '1996' and o_totalprice < 100000", "select * from {t}", options=", partitionoverwritemode 'DYNAMIC'"), f"select o_orderkey, o_totalprice, o_ym, o_year from {M} where o_year<>'1996' or o_totalprice<100000"),
+    "q_delete_rows": (_filled("insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m; delete from {t} where o_year = '1996' and o_totalprice > 100000", "select * from {t}"), f"select o_orderkey, o_totalprice, o_ym, o_year from {M} where not (o_year='1996' and o_totalprice>100000)"),
+    "q_update_rows": (_filled("insert into {t} select o_orderkey, o_totalprice, o_ym, o_year from orders_m; update {t} set o_totalprice = o_totalprice + 1 where o_ym = '199603'", "select * from {t}"), f"select o_orderkey, case when o_ym='199603' then o_totalprice+1 else o_totalprice end as o_totalprice, o_ym, o_year from {M}"),
+    "q_names_dropped": (names_dropped, f"select count(*) as seen, false as left from {M} where o_year='1996'"),
+    "q_stream_append": (streamed, f"select o_year, count(*) as n from {M} group by o_year"),
+    "q_as_of_two_tables": (two_tables_as_of, f"select 2*count(*) as n, count(*) filter (where o_year='1996') * 2 as m, true as before from {M}"),
+    "q_statistics": (statistics, f"select count(distinct o_year) as files, count(*) as n, true as sized from {M} where o_year<>'1997' or o_totalprice<100000"),
+    "q_save_modes": (save_modes, f"select cast(i as integer) as i, mode, k*n as n, failed from (select count(*) as n from {M} where o_year='1996') cross join (values (0,'error',1,false),(1,'append',2,false),(2,'ignore',2,false),(3,'overwrite',1,false),(4,'error',1,true)) v(i,mode,k,failed)"),
+    "q_formats": (formats, f"select kind, count(*) as n, cast(1 as bigint) as files from {M} cross join (values ('orc'),('json'),('csv')) v(kind) where o_year='1996' group by kind"),
+    "q_subquery_pruned": (_counted("select o_orderkey from orders_m where o_year = '1996' and o_totalprice > (select avg(o_totalprice) from orders_m where o_ym = '199703')"), f"select count(*) as n, cast(2 as bigint) as files, (select count(distinct o_year) from {M}) as total from {M} where o_year='1996' and o_totalprice>(select avg(o_totalprice) from {M} where o_ym='199703')"),
+    "q_chained_filter": (_counted("select o_orderkey, o_ym, o_totalprice from orders_m", "o_ym = '199603'", "o_totalprice < 50000"), f"select count(*) as n, cast(1 as bigint) as files, (select count(distinct o_year) from {M}) as total from {M} where o_ym='199603' and o_totalprice<50000"),
+    "q_cte_pruned": (_counted("with c as (select o_custkey, o_year, rand() as r from orders_m where o_year in ('1995', '1996')) select x.o_custkey from c x join c y on x.o_custkey = y.o_custkey where y.o_year = '1996'"), f"select count(*) as n, cast(2 as bigint) as files, (select count(distinct o_year) from {M}) as total from {M} x join {M} y on x.o_custkey=y.o_custkey where x.o_year in ('1995','1996') and y.o_year='1996'"),
+    "q_snapshots_projection": (_sql(SC5, "select numAddedFiles + numdDeletedFiles as changed from `orders_m$snapshots` where parentId <> -1"), f"with y as (select cast(count(distinct o_year) as integer) as c from {M}) select cast(v as integer) as changed from (select c as v from y union all select 3*c from y union all select 2 union all select 2) t"),
+    "q_join_outer": (_sql(SC1, "select o.o_orderkey, l.l_linenumber from orders_m o full outer join (select * from lineitem where l_quantity > 45) l on o.o_orderkey = l.l_orderkey and o.o_year = '1996'"), f"select o.o_orderkey, l.l_linenumber from {M} o full outer join (select * from lineitem where l_quantity>45) l on o.o_orderkey=l.l_orderkey and o.o_year='1996'"),
+    "q_join_theta": (_sql(SC1, "select count(*) as n from orders_m a join orders_m b on a.o_custkey = b.o_custkey and a.o_totalprice < b.o_totalprice where a.o_year = '1996'"), f"select count(*) as n from {M} a join {M} b on a.o_custkey=b.o_custkey and a.o_totalprice<b.o_totalprice where a.o_year='1996'"),
+    "q_join_years": (_sql(SC1, "select x.o_year, y.o_year as other from (select distinct o_year from orders_m) x cross join (select distinct o_year from orders_m) y"), f"select x.o_year, y.o_year as other from (select distinct o_year from {M}) x cross join (select distinct o_year from {M}) y"),
+    "q_join_range": (_sql(SC1, "select b.lo, count(*) as n from orders_m o join (select * from values (0D, 50000D), (50000D, 200000D), (200000D, 1e9D) as v(lo, hi)) b on o.o_totalprice >= b.lo and o.o_totalprice < b.hi group by b.lo"), f"select b.lo, count(*) as n from {M} o join (select cast(lo as double) as lo, cast(hi as double) as hi from (values (0,50000),(50000,200000),(200000,1000000000)) v(lo,hi)) b on o.o_totalprice>=b.lo and o.o_totalprice<b.hi group by b.lo"),
+    "q_agg_cube": (_sql(SC1, "select o_year, o_orderstatus, count(*) as n from orders_m group by cube(o_year, o_orderstatus)"), f"select o_year, o_orderstatus, count(*) as n from {M} group by cube(o_year, o_orderstatus)"),
+    "q_agg_grouping_sets": (_sql(SC1, "select o_year, o_orderpriority, count(distinct o_custkey) as n from orders_m group by grouping sets ((o_year), (o_orderpriority), ())"), f"select o_year, o_orderpriority, count(distinct o_custkey) as n from {M} group by grouping sets ((o_year), (o_orderpriority), ())"),
+    "q_set_intersect": (_sql(SC1, "select o_custkey from orders_m where o_year = '1996' intersect select o_custkey from orders_m where o_year = '1997'"), f"select o_custkey from {M} where o_year='1996' intersect select o_custkey from {M} where o_year='1997'"),
+    "q_scalar_functions": (_sql(SC1, "select o_orderkey, upper(o_orderpriority) as u, length(o_orderpriority) as l, coalesce(nullif(o_orderstatus, 'F'), '-') as s, case when o_totalprice > 1e5 then 1 else 0 end as c, year(o_orderdate) as y from orders_m where o_year = '1996'"), f"select o_orderkey, upper(o_orderpriority) as u, cast(length(o_orderpriority) as integer) as l, coalesce(nullif(o_orderstatus,'F'),'-') as s, cast(case when o_totalprice>1e5 then 1 else 0 end as integer) as c, cast(year(o_orderdate) as integer) as y from {M} where o_year='1996'"),
+    "q_udf": (by_udf, f"select o_orderkey, o_totalprice*2 as x from {M} where o_year='1996'"),
     "q_join_managed_plain": (_sql(SC1, "select o.o_orderkey, l.l_linenumber from orders_m o join lineitem l on o.o_orderkey=l.l_orderkey where o.o_orderkey=77"), "select o.o_orderkey, l.l_linenumber from orders o join lineitem l on o.o_orderkey=l.l_orderkey where o.o_orderkey=77"),
     "q_join_semi": (_sql(SC1, "select o_orderkey from orders_m o where exists (select 1 from lineitem l where l.l_orderkey=o.o_orderkey and l.l_quantity>45)"), "select o_orderkey from orders o where exists (select 1 from lineitem l where l.l_orderkey=o.o_orderkey and l.l_quantity>45)"),
     "q_join_anti": (_sql(SC1, "select o_orderkey from orders_m o where not exists (select 1 from lineitem l where l.l_orderkey=o.o_orderkey)"), "select o_orderkey from orders o where not exists (select 1 from lineitem l where l.l_orderkey=o.o_orderkey)"),
