@@ -16,7 +16,7 @@ BLANK = r"[\x20\x09-\x0D]+"
 
 @functools.cache
 def _own_folder() -> str:
-    """A folder for sessions that name none (tests on one machine)."""
+    """A folder for sessions that name none; only where driver and executors are one process."""
     folder = tempfile.TemporaryDirectory(prefix="tidemark-")
     atexit.register(folder.cleanup)
     return f"file://{folder.name}"
@@ -24,7 +24,11 @@ def _own_folder() -> str:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    if own := spark.conf.get("spark.checkpoint.dir", None):
+        return own.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+    return _own_folder()
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -33,10 +37,16 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 class Scratch:
-    """Tables written in the shared folder, so that lost executors cost no lineage."""
+    """Tables written in the shared folder, so that lost executors cost no lineage.
+
+    What no later step reads is dropped as soon as that is known; what a result reads, when the
+    driver's process ends.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.n = spark, f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}", 0
+        self.live: dict[str, None] = {}
+        _roots.append((spark, self.root))
 
     def path(self) -> str:
         self.n += 1
@@ -46,13 +56,36 @@ class Scratch:
         df.write.parquet(path := self.path())
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
+        self.live[path] = None
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """For tables that no later result reads."""
         for t in tables:
+            self.live.pop(t.scratch_path, None)
             remove(self.spark, t.scratch_path)
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Drops all tables but these."""
+        kept = {t.scratch_path for t in tables}
+        for path in [p for p in self.live if p not in kept]:
+            del self.live[path]
+            remove(self.spark, path)
+
+
+_roots: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_roots() -> None:
+    from py4j.protocol import Py4JError, Py4JNetworkError
+
+    for spark, root in _roots:
+        try:
+            remove(spark, root)
+        except (Py4JError, Py4JNetworkError, OSError):  # the JVM has gone already
+            return
+
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Fewer rows in an Arrow batch: workers and executors hold whole texts of a batch, which may be long."""
@@ -75,6 +108,18 @@ def broadcast_if(df: DataFrame, size: Column, most: int = MOST_BROADCAST) -> Dat
     return F.broadcast(df) if total <= most else df
 
 
+#: Parts into which a key's rows are dealt where their partner is too large to be broadcast.
+SALT = 64
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, size: Column, salt: Column) -> DataFrame:
+    """left with its row of right, one at most for each key, if there is one. No key's rows of left meet in one task."""
+    if right.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= MOST_BROADCAST:
+        return left.join(F.broadcast(right), key, "left")
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return left.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALT)).cast("int")).join(copies, [key, "_salt"], "left").drop("_salt")
+
+
 def words(text: str | None) -> list[bytes]:
     """UTF-8 words with A-Z lower-cased; bytes.split() cuts at exactly the BLANK characters."""
     return text.encode().lower().split() if text else []
@@ -96,6 +141,17 @@ def ranked(scratch: Scratch, df: DataFrame, by: list[str], name: str) -> DataFra
     return dealt.join(F.broadcast(starts), "_p").withColumn(name, F.col("_s") + within - 1).drop("_p", "_s")
 
 
+def running(df: DataFrame, place: str, value: str, name: str, most: int = 4096) -> DataFrame:
+    """The rows with the sum of value over all rows of smaller place (0, 1, 2, ...); no task sees more than most rows but one sum each."""
+    from pyspark.sql import Window
+
+    df = df.withColumn("_part", F.floor(F.col(place) / most))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = df.groupBy("_part").agg(F.sum(value).alias("_all")).select("_part", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_from"))
+    within = F.sum(value).over(Window.partitionBy("_part").orderBy(place).rowsBetween(Window.unboundedPreceding, 0)) - F.col(value)
+    return df.withColumn("_within", within).join(starts, "_part").withColumn(name, F.col("_from") + F.col("_within")).drop("_part", "_from", "_within")
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the undirected edges (a, b); root names the component.
 
@@ -116,8 +172,10 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         scratch.drop(edges)
         edges = following
     if not steps:
-        return edges.select(F.col("a").alias("node"), F.col("a").alias("root"))
+        return scratch.table(edges.select(F.col("a").alias("node"), F.col("a").alias("root")))
     out = steps[0].toDF("node", "root")
     for i, step in enumerate(steps[1:]):
         out = out.join(step.toDF("root", f"to{i}"), "root", "left").select("node", F.coalesce(f"to{i}", "root").alias("root"))
-    return scratch.table(out)
+    out = scratch.table(out)
+    scratch.drop(edges, *steps)
+    return out
