@@ -7,23 +7,26 @@ pairs under that distance share a key. For a similarity of 0.8 the distance is b
 16; over 31 of 80 differ with a chance of 3e-5. A key holds 4 symbols, 64 bits, so that unlike
 documents hardly ever share one however many there are.
 
-Equal sets become one class first. Neither keys nor classes emit all their pairs: tasks compare
-bounded blocks and return a spanning forest of what they have found; forests lead to the same
-components as all links. Candidates are components of signatures, which then meet in blocks again
-and are confirmed on their whole sets by a matrix product.
+Equal sets become one class first, equal signatures one node. A group (of keys, later of
+candidates) is dealt to bounded blocks, each with the group's hub: members that a block connects
+with the hub are settled, and only the rest, with no cap on their number, meets all the other
+blocks. Tasks return spanning forests, which lead to the same components as all links. Candidates
+are components of signatures, confirmed on their whole sets by a matrix product.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .base import Scratch, broadcast_if, components, small_batches, words
 from .lm import mixed
@@ -31,7 +34,7 @@ from .lm import mixed
 SYMBOLS, BITS, CHUNKS, ERRORS = 80, 16, 16, 1
 DISTANCE = (ERRORS + 1) * CHUNKS - 1
 #: Signatures of a block, documents and shingles of one that is confirmed; two blocks meet in a task.
-SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 2048, 256, 1_000_000, 150_000
+SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 512, 256, 1_000_000, 150_000
 SEEDS = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -98,15 +101,17 @@ def forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def near_signatures(sigs: np.ndarray) -> np.ndarray:
+def near_signatures(data: list[bytes]) -> np.ndarray:
+    sigs = np.frombuffer(b"".join(data), np.uint16).reshape(-1, SYMBOLS)
     out = np.zeros((len(sigs), len(sigs)), bool)
     for i, s in enumerate(sigs):
         out[i] = (sigs != s).sum(1) <= DISTANCE
     return out
 
 
-def near_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def near_sets(data: list[bytes], percent: int) -> np.ndarray:
     """Whether 100 * intersection >= percent * union, by products of 0-1 matrices."""
+    sets = [np.frombuffer(x, np.uint64) for x in data]
     size = np.array([len(s) for s in sets], np.int64)
     values, at = np.unique(np.concatenate(sets), return_inverse=True)
     row = np.repeat(np.arange(len(sets)), size)
@@ -115,23 +120,63 @@ def near_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     row, at = row[shared[at]], place[at[shared[at]]]
     order = np.argsort(at, kind="stable")
     row, at = row[order], at[order]
-    both = np.zeros((len(sets), len(sets)), np.float32)
+    both = np.zeros((len(sets), len(sets)), np.int64)
     step = 8192
     for lo in range(0, int(shared.sum()), step):
         i, j = np.searchsorted(at, (lo, lo + step))
         m = np.zeros((len(sets), step), np.float32)
         m[row[i:j], at[i:j] - lo] = 1
-        both += m @ m.T
-    both = both.astype(np.int64)
+        both += (m @ m.T).astype(np.int64)
     return 100 * both >= percent * (size[:, None] + size - both)
 
 
-def paired(df: DataFrame, group: str, node: str, blocks: str) -> DataFrame:
-    """Rows dealt to (group, i, j): each of a group's blocks meets each other one in one task."""
-    df = df.withColumn("b", F.pmod(F.xxhash64(F.lit(3), node), F.col(blocks)))
-    df = df.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
-    # with several blocks the pairs (b, b) are part of (b, o)
-    return df.filter(f"{blocks} = 1 or b <> o").withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).drop("b", "o")
+def meet(members: DataFrame, payload: Callable[[DataFrame], DataFrame], near: Callable[[list[bytes]], np.ndarray], scratch: Scratch) -> DataFrame:
+    """Edges (a, b) that connect in each group what near connects, whatever the group's size.
+
+    members: (group, node, blocks, hub), a group dealt to so many blocks, one of its nodes the hub;
+    payload adds the column data, which near compares.
+    """
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out: list[tuple] = []
+            for group, blocks, rows in zip(batch["group"], batch["blocks"], batch["rows"]):
+                rows = list({r["node"]: r for r in rows}.values())
+                close = near([r["data"] for r in rows])
+                edges = forest(close)
+                out += [(group, rows[i]["node"], rows[j]["node"]) for i, j in edges]
+                if blocks > 1:
+                    settled = {i for i, r in enumerate(rows) if r["hub"]}
+                    todo = list(settled)
+                    while todo:
+                        new = set(np.flatnonzero(close[todo.pop()]).tolist()) - settled
+                        settled |= new
+                        todo += new
+                    out += [(group, r["node"], None) for i, r in enumerate(rows) if i not in settled]
+            yield pd.DataFrame({"group": pd.array([x[0] for x in out], "Int64"), "a": pd.array([x[1] for x in out], "Int64"), "b": pd.array([x[2] for x in out], "Int64")})
+
+    def packed(rows: DataFrame, *by: str) -> DataFrame:
+        rows = rows.groupBy("group", *by).agg(F.max("blocks").alias("blocks"), F.collect_list(F.struct("node", "data", "hub")).alias("rows"))
+        return rows.select("group", "blocks", "rows").mapInPandas(compare, "group long, a long, b long")
+
+    def every(n: str) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+    block = F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks"))
+    at = F.when(F.col("hub"), every("blocks")).otherwise(F.array(block))
+    first = scratch.table(packed(payload(members).withColumn("i", F.explode(at)), "i"))
+    edges = first.filter("b is not null").select("a", "b")
+    rest = first.filter("b is null").select("group", F.col("a").alias("node"))
+    if rest.isEmpty():
+        return edges
+    # what the hub did not reach meets every block of its group
+    parts = scratch.table(rest.groupBy("group").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("long").alias("parts")))
+    again = scratch.table(payload(members.join(broadcast_if(parts, F.lit(16)), "group")))
+    left = again.join(rest, ["group", "node"], "left_semi").withColumn("i", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("parts"))).withColumn("j", F.explode(every("blocks")))
+    right = again.withColumn("i", F.explode(every("parts"))).withColumn("j", block)
+    both = left.unionByName(right).withColumns({"blocks": F.lit(1).cast("long"), "hub": F.lit(False)})
+    more = scratch.table(packed(both, "i", "j"))
+    return edges.union(more.select("a", "b"))
 
 
 def classes(docs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
@@ -159,54 +204,42 @@ def candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
                     node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), k.shape[1])
                     yield pa.RecordBatch.from_arrays([pa.array(k.reshape(-1)), pa.array(node)], ["key", "node"])
 
-    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            a, b = [], []
-            for rows in batch["rows"]:
-                ids = [r["node"] for r in rows]
-                sigs = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint16).reshape(-1, SYMBOLS)
-                for i, j in forest(near_signatures(sigs)):
-                    a.append(ids[i])
-                    b.append(ids[j])
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-    keys = reps.select("node", "sig").mapInArrow(keyed, "key long, node long")
+    # equal signatures are one: only one node of each goes on, the others have an edge to it
+    one = reps.groupBy("sig").agg(F.min("node").alias("least"), F.count("*").alias("n"))
+    alone = scratch.table(one.select("sig", F.col("least").alias("node")))
+    again = scratch.table(one.filter("n > 1").select("sig", "least"))
+    same = reps.join(broadcast_if(again, F.lit(2 * SYMBOLS + 8)), "sig").filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    keys = alone.select("node", "sig").mapInArrow(keyed, "key long, node long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1").select("key", "first")
     # keys with the same least node are one group: each key's nodes still meet, and only once
     met = scratch.table(keys.join(shared, "key").select("first", "node").distinct())
-    size = met.groupBy("first").agg(F.ceil(F.count("*") / SIGNATURES).cast("long").alias("blocks"))
-    rows = paired(met.join(size, "first"), "first", "node", "blocks").join(reps.select("node", "sig"), "node")
-    packed = rows.groupBy("first", "i", "j").agg(F.collect_list(F.struct("node", "sig")).alias("rows")).select("rows")
-    return packed.mapInPandas(alike, "a long, b long")
+    # a group's rows are never dealt by the group: only groups above a block have a size to be looked up
+    size = scratch.table(met.groupBy("first").agg(F.count("*").alias("n")).filter(F.col("n") > SIGNATURES).select("first", F.ceil(F.col("n") / SIGNATURES).cast("long").alias("blocks")))
+    rows = met.join(broadcast_if(size, F.lit(16)), "first", "left").select(F.col("first").alias("group"), "node", F.coalesce("blocks", F.lit(1).cast("long")).alias("blocks"), (F.col("node") == F.col("first")).alias("hub"))
+    return meet(rows, lambda df: df.join(alone.withColumnRenamed("sig", "data"), "node"), near_signatures, scratch).union(same)
 
 
 def confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """Edges (a, b) of classes linked on their full sets, within components (node, root) of candidates."""
     chosen = found.join(reps.select("node", "rep", "n_shingles"), "node")
-    size = chosen.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
-    chosen = scratch.table(chosen.join(size, "root").select("rep", F.col("node").alias("want"), "root", "blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
+    size = scratch.table(chosen.groupBy("root").agg(blocks.alias("blocks")).filter("blocks > 1"))
+    chosen = chosen.join(broadcast_if(size, F.lit(16)), "root", "left")
+    chosen = scratch.table(chosen.select("rep", F.col("root").alias("group"), "node", F.coalesce("blocks", F.lit(1).cast("long")).alias("blocks"), (F.col("node") == F.col("root")).alias("hub")))
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingles(width)
-        for batch in batches:
-            found = [shingles.of(t) for t in batch["text"]]
-            ok = np.array([len(s) > 0 and class_of(s) == w for s, w in zip(found, batch["want"])], bool)
-            yield pd.DataFrame({"root": batch["root"][ok], "blocks": batch["blocks"][ok], "node": batch["want"][ok], "shingles": [s.tobytes() for s, k in zip(found, ok) if k]})
+    def sets(df: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            shingles = Shingles(width)
+            for batch in batches:
+                found = [shingles.of(t) for t in batch["text"]]
+                ok = np.array([len(s) > 0 and class_of(s) == w for s, w in zip(found, batch["node"])], bool)
+                yield batch[ok].drop(columns="text").assign(data=[s.tobytes() for s, k in zip(found, ok) if k])
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            a, b = [], []
-            for rows in batch["rows"]:
-                ids = [r["node"] for r in rows]
-                for i, j in forest(near_sets([np.frombuffer(r["shingles"], np.uint64) for r in rows], percent)):
-                    a.append(ids[i])
-                    b.append(ids[j])
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        names = [c for c in df.columns if c != "rep"]
+        texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if(df, F.lit(48)), "rep").select(*names, "text")
+        return texts.mapInPandas(run, T.StructType([*df.select(*names).schema.fields, T.StructField("data", T.BinaryType())]))
 
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if(chosen, F.lit(40)), "rep")
-    rows = texts.mapInPandas(sets, "root long, blocks long, node long, shingles binary")
-    packed = paired(rows, "root", "node", "blocks").groupBy("root", "i", "j").agg(F.collect_list(F.struct("node", "shingles")).alias("rows")).select("rows")
-    return packed.mapInPandas(compare, "a long, b long").distinct()
+    return meet(chosen, sets, functools.partial(near_sets, percent=percent), scratch).distinct()
 
 
 def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -226,6 +259,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     reps = scratch.table(reps)
     found = components(scratch, candidates(reps, scratch))
     linked = components(scratch, confirmed(docs, reps, found, width, percent, scratch))
+    scratch.keep(rows, reps, linked)
     named = reps.select("node", "rep").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "root").select("node", "component_id")
