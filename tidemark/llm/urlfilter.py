@@ -1,7 +1,11 @@
 """URL filter: rules first, gradient-boosted trees on lexical features for the rest.
 
-The trees learn from a bounded sample of labelled URLs: those that rules decide, those that no
-rule decides, blocked if their host has a word of the blocked categories, and seeds. Features need the URL alone, so judging is one pass without a shuffle.
+The trees learn from a bounded sample of the URLs that rules decide, so what they say of the other
+URLs is what the rules' verdicts show of paths, hosts and shapes. Statistics of suffixes leave out
+those that a rule covers whole (its host and what lies below), and come from other folds of hosts
+than the URL they describe, so a tree reads neither a rule nor a URL's own label in them. A URL is
+blocked above a threshold that leaves alone nearly all URLs that the rules allow, each scored by
+trees that have not seen its host. Judging needs the URL alone: one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -10,17 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The rules of the contract, as (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-#: Words of hosts in categories that public blocklists commonly have (adverts, adult, gambling, pharmacy,
-#: spam, fraud), and plain ones: they label the seeds, and the first also the hosts that no rule decides.
-SEED_BLOCK = "ads adult bets casino cheap click dating farm free loan lottery malware phishing pills poker porn spam track viagra warez".split()
-SEED_ALLOW = "blog books city docs forum garden history kitchen library museum music news radio school science sport travel weather wiki www".split()
-#: Bounds of the fit: labelled rows, trees, leaves a tree.
-MOST_ROWS, TREES, DEPTH, RATE = 20_000, 60, 3, 0.2
+#: Bounds of the fit: labelled rows, trees, cuts on a path of a tree, share of each tree; folds of hosts; pseudo-count of statistics.
+MOST_ROWS, TREES, DEPTH, RATE, FOLDS, PRIOR = 20_000, 60, 3, 0.2, 5, 2.0
+#: Share of the allowed URLs of unseen hosts that may score above the threshold, which is one half at least.
+LOST = 0.01
+#: Names of the features, in order.
+FEATURES = "length host_length depth digit_ratio entropy parameters hyphens labels secure host_digits tld_share tld_weight domain_share domain_weight part_share part_weight".split()
 
 
 def host_of(url: Column) -> Column:
@@ -42,39 +47,60 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Co
     return out
 
 
-def block_words(url: str) -> int:
-    """How many words of the host are those of blocked categories."""
-    host = url.lower().partition("://")[2].partition("/")[0].partition("?")[0].partition("#")[0]
-    return sum(w in SEED_BLOCK for w in host.replace("-", ".").split("."))
+def parts_of(url: str) -> tuple[str, str, str]:
+    """Host, path and query of a lower-cased URL."""
+    head = url.partition("://")[2].partition("#")[0]
+    plain, _, query = head.partition("?")
+    host, slash, path = plain.partition("/")
+    return host, slash + path, query
 
 
-def lexical(urls: pd.Series, suffixes: dict[str, tuple[float, float]]) -> np.ndarray:
-    """A row of numbers for each URL."""
-    out = np.zeros((len(urls), 15))
-    for i, url in enumerate(urls):
-        u = (url or "").lower()
-        rest = u.partition("://")[2]
-        head = rest.partition("#")[0]
-        host, slash, tail = head.partition("?")[0].partition("/")
-        query = head.partition("?")[2]
-        n = np.unique(np.frombuffer(u.encode(), np.uint8), return_counts=True)[1] / max(1, len(u.encode()))
-        labels = host.split(".")
-        known = [suffixes.get(s, (0.5, 0.0)) for s in (labels[-1], ".".join(labels[-2:]), "/" + tail.partition("/")[0])]
-        out[i] = [len(u), len(host), tail.count("/") + bool(slash), sum(map(str.isdigit, u)) / max(1, len(u)), -(n * np.log2(n)).sum() if len(n) else 0, query.count("=") + query.count("&"), host.count("-"), len(labels), u.startswith("https"), known[0][0], known[1][0], known[1][1], block_words(u), sum(map(str.isdigit, host)), known[2][0]]
-    return out
+def suffixes_of(url: str) -> tuple[str, str, str]:
+    """What statistics are kept of: the host's last label, its last two, the path's first part."""
+    host, path, _ = parts_of(url)
+    labels = host.split(".")
+    return labels[-1], ".".join(labels[-2:]), "/" + path[1:].partition("/")[0]
+
+
+def fold_of(url: str) -> int:
+    return xxhash.xxh3_64_intdigest(parts_of(url)[0].encode()) % FOLDS
+
+
+class Suffixes:
+    """Share and number of blocked URLs, in each fold of hosts, of each suffix that no rule's host covers."""
+
+    def __init__(self, urls: list[str], y: np.ndarray, hosts: set[str]):
+        self.found: dict[str, np.ndarray] = {}
+        self.first = float(y.mean()) if len(y) else 0.5
+        for url, v in zip(urls, y):
+            u = url.lower()
+            for s in set(suffixes_of(u)):
+                if not s.startswith("/") and any(".".join(s.split(".")[i:]) in hosts for i in range(s.count(".") + 1)):
+                    continue
+                self.found.setdefault(s, np.zeros((FOLDS, 2)))[fold_of(u)] += (v, 1.0)
+
+    def of(self, url: str, left_out: int | None) -> list[float]:
+        """Smoothed share of blocked and log of the number, for each suffix; without one fold."""
+        out = []
+        for s in suffixes_of(url):
+            blocked, n = 0.0, 0.0
+            if (known := self.found.get(s)) is not None:
+                blocked, n = known.sum(0) - (known[left_out] if left_out is not None else 0)
+            out += [(blocked + PRIOR * self.first) / (n + PRIOR), float(np.log1p(n))]
+        return out
 
 
-def suffix_statistics(urls: list[str], y: np.ndarray, weight: np.ndarray) -> dict[str, tuple[float, float]]:
-    """For the last one and two labels of hosts, and the first part of paths: smoothed share of blocked, log weight."""
-    found: dict[str, list[float]] = {}
-    for url, v, w in zip(urls, y, weight):
-        host, _, tail = url.lower().partition("://")[2].partition("#")[0].partition("?")[0].partition("/")
-        labels = host.split(".")
-        for s in {labels[-1], ".".join(labels[-2:]), "/" + tail.partition("/")[0]}:
-            at = found.setdefault(s, [0.0, 0.0])
-            at[0] += w * v
-            at[1] += w
-    return {s: ((a + 1) / (n + 2), float(np.log1p(n))) for s, (a, n) in found.items()}
+def lexical(urls: Iterator[str | None], suffixes: Suffixes | None, own_fold: bool = False) -> np.ndarray:
+    """A row of FEATURES for each URL. own_fold: statistics leave out the fold that the URL's host is in."""
+    out = []
+    for url in urls:
+        u = (url or "").lower()
+        host, path, query = parts_of(u)
+        raw = u.encode("utf-8", "surrogatepass")
+        n = np.unique(np.frombuffer(raw, np.uint8), return_counts=True)[1] / max(1, len(raw))
+        statistics = suffixes.of(u, fold_of(u) if own_fold else None) if suffixes else [0.0] * 6
+        out.append([len(u), len(host), path.count("/"), sum(map(str.isdigit, u)) / max(1, len(u)), -(n * np.log2(n)).sum() if len(n) else 0, query.count("=") + query.count("&"), host.count("-"), host.count(".") + 1, u.startswith("https"), sum(map(str.isdigit, host)), *statistics])
+    return np.array(out, float).reshape(-1, len(FEATURES))
 
 
 class Boosted:
@@ -130,17 +156,30 @@ class Boosted:
         return 1 / (1 + np.exp(-f))
 
 
-def seeds() -> tuple[list[str], list[int]]:
-    """Plain and blocked hosts over the same forms, domains and paths, so that only their words differ."""
-    out = []
-    for y, names in ((1, SEED_BLOCK), (0, SEED_ALLOW)):
-        for i, name in enumerate(names):
-            for j in range(12):
-                other, domain = names[(i + j + 1) % len(names)], ["example.org", "example.net", "example.com"][j % 3]
-                host = [f"{name}-{other}", f"{name}.{other}", name, f"www.{name}-{other}"][j // 3]
-                page = [f"/{100 * i + j}", f"/{i + j}.html", f"/{i}?page={j}&ref=x", f"/{j}#top"][(i + j) % 4]
-                out.append((f"{'https' if (i + j) % 2 else 'http'}://{host}.{domain}/en{page}", y))
-    return [u for u, _ in out], [y for _, y in out]
+class Model:
+    """Trees over the features of URLs, and a threshold; statistics may be left out, to see what they add.
+
+    hosts: those of the rules, which decided the labels.
+    """
+
+    def __init__(self, urls: list[str], y: np.ndarray, hosts: set[str] = frozenset(), with_suffixes: bool = True):
+        self.suffixes = Suffixes(urls, y, hosts) if with_suffixes else None
+        x, fold = lexical(urls, self.suffixes, own_fold=True), np.array([fold_of(u.lower()) for u in urls], int)
+        self.trees = self.fitted(x, y)
+        unseen = np.zeros(len(y))
+        for f in range(FOLDS):
+            if (fold == f).any():
+                unseen[fold == f] = self.fitted(x[fold != f], y[fold != f]).blocked(x[fold == f])
+        allowed = np.sort(unseen[y == 0])
+        self.threshold = max(0.5, float(allowed[min(len(allowed) - 1, int(len(allowed) * (1 - LOST)))]) if len(allowed) else 0.5)
+
+    @staticmethod
+    def fitted(x: np.ndarray, y: np.ndarray) -> Boosted:
+        both = np.array([(y == 0).sum(), (y == 1).sum()])
+        return Boosted(x, y, len(y) / 2 / np.maximum(both, 1)[y.astype(int)] if len(y) else np.zeros(0))  # both verdicts count alike
+
+    def blocked(self, urls: Iterator[str | None]) -> np.ndarray:
+        return self.trees.blocked(lexical(urls, self.suffixes))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
@@ -148,34 +187,26 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None) ->
 
     host and path are empty for a null url or one without ://. rule: the longest that fits the
     host or a parent domain and the start of the path, else null. verdict: the rule's, else block
-    where p_block, the trees' probability, is over one half. Learns from about MOST_ROWS urls
-    that rules decide and as many others (those of least hash), and the seeds. Repeated rows and null ids each
-    give a row.
+    where p_block, the trees' probability, is over the model's threshold. Learns from about MOST_ROWS
+    urls that rules decide (those of least hash); without any, or with one verdict alone, p_block is
+    the same for all: all are blocked if all labelled ones are, else none. Repeated rows and null ids
+    each give a row.
     """
     rules = RULES if rules is None else rules
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     rows = rows.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
+    ruled = rows.filter(F.col("fit").isNotNull() & F.col("url").isNotNull())
     place = F.pmod(F.xxhash64(F.lit(11), "url"), F.lit(1 << 20)) / float(1 << 20)
-    ruled = F.col("fit").isNotNull()
-    n = rows.groupBy(ruled.alias("r")).count().collect()
-    share = {r["r"]: min(1.0, MOST_ROWS / max(1, r["count"])) for r in n}
-    chosen = place < F.when(ruled, share.get(True, 1.0)).otherwise(share.get(False, 1.0))
-    got = rows.filter(chosen & F.col("url").isNotNull()).select("url", "fit.verdict").orderBy(F.xxhash64("url"), "url").limit(4 * MOST_ROWS).collect()
-    by_rule = [(r["url"], r["verdict"] == "block") for r in got if r["verdict"]]
-    by_word = [(r["url"], block_words(r["url"]) > 0) for r in got if not r["verdict"]]
-    parts = [p for p in (by_rule, by_word, list(zip(*seeds()))) if p]
-    urls, y = [u for p in parts for u, _ in p], np.array([v for p in parts for _, v in p], float)
-    weight = np.concatenate([np.full(len(p), max(map(len, parts)) / len(p)) for p in parts])  # each kind of label counts alike
-    suffixes = suffix_statistics(urls, y, weight)
-    model = pages.sparkSession.sparkContext.broadcast((Boosted(lexical(pd.Series(urls), suffixes), y, weight), suffixes))
+    got = ruled.filter(place < min(1.0, MOST_ROWS / max(1, ruled.count()))).select("url", "fit.verdict").orderBy(F.xxhash64("url"), "url").limit(2 * MOST_ROWS).collect()
+    urls, y = [r["url"] for r in got], np.array([r["verdict"] == "block" for r in got], float)
+    model = pages.sparkSession.sparkContext.broadcast(Model(urls, y, {h for _, h, _ in rules}))
 
     @F.pandas_udf("double")
     def p_block(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        trees, known = model.value
         for u in batches:
-            yield pd.Series(trees.blocked(lexical(u, known)))
+            yield pd.Series(model.value.blocked(u))
 
     rows = rows.withColumn("p_block", p_block("url"))
-    verdict = F.coalesce("fit.verdict", F.when(F.col("p_block") > 0.5, "block").otherwise("allow"))
+    verdict = F.coalesce("fit.verdict", F.when(F.col("p_block") > model.value.threshold, "block").otherwise("allow"))
     return rows.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"), "p_block")
