@@ -4,7 +4,8 @@ Kernel: blended-spectrum presence, the number of character n-grams of length 1 t
 texts share, over the root of the product of their numbers. n-grams are hashed to 2**BITS places.
 Nyström landmarks make the feature map, one-versus-rest kernel ridge regression the classifier.
 A text's scores are K(text, landmarks) @ A; since K is itself presence @ landmark presence, both
-products fold into one matrix of n-gram weights, and a batch is scored by one product with it.
+products fold into one matrix of n-gram weights, and texts are scored in batches by the product of
+their presence matrix with it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ GRAMS, BITS, LEAST_BITS = 3, 18, 14
 #: more they are, the fewer are rows of each and places.
 MOST_ROWS, ALL_ROWS, LEAST_ROWS, MOST_LANDMARKS, MOST_CHARS, MOST_WEIGHTS = 500, 30_000, 4, 320, 50_000, 1 << 24
 RIDGE = 1e-2
+#: Cells (at most, but for one text) of the matrix by which a batch of texts is scored.
+MOST_CELLS = 1 << 22
+#: The pipeline rejects texts whose winner's score is below: its regression, 1 for its own texts and -1 for others, is under -0.1.
+CONFIDENT = 0.45
 
 
 def bits_for(langs: int) -> int:
@@ -62,12 +67,25 @@ class Model:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """One row a text: the regressions' values, about 1 for the text's language and -1 for others."""
-        out = np.zeros((len(texts), len(self.labels)), np.float32)
+        out, at, held, size = np.zeros((len(texts), len(self.labels)), np.float32), 0, [], 0
         for i, t in enumerate(texts):
-            g = grams(t, self.bits)
-            out[i] = self.weights[g].sum(0) / np.sqrt(max(1, len(g)))
+            held.append(grams(t, self.bits))
+            size += len(held[-1])
+            if size * len(held) > MOST_CELLS or i + 1 == len(texts):
+                out[at : i + 1] = self.product(held)
+                at, held, size = i + 1, [], 0
         return out
 
+    def product(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Presence of n-grams, texts by places, times the weights of these places."""
+        n, every = np.array([len(s) for s in sets]), np.concatenate(sets)
+        seen = np.zeros(1 << self.bits, bool)
+        seen[every] = True
+        column = np.cumsum(seen)
+        presence = np.zeros((len(sets), int(column[-1])), np.float32)
+        presence[np.repeat(np.arange(len(sets)), n), column[every] - 1] = np.repeat(1 / np.sqrt(np.maximum(n, 1)), n)
+        return presence @ self.weights[seen]
+
 
 def fit(texts: list[str], langs: list[str]) -> Model:
     labels = sorted(set(langs))
@@ -122,21 +140,25 @@ def sample(docs: DataFrame, chosen: Column) -> tuple[list[str], list[str]]:
     return [r["text"] for r in got], [r["lang"] for r in got]
 
 
-def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
+def learned(docs: DataFrame, held_out: Column | None = None) -> Model:
+    """A model of the labelled rows that are not held out (default: crc32 of the id mod 4 is 2)."""
+    held_out = remainder(F.col("doc_id"), 4) == 2 if held_out is None else held_out
+    kinds = {"doc_id": "long", "text": "string", "lang": "string"}
+    return fit(*sample(docs.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]), ~held_out))
+
+
+def identify(docs: DataFrame, held_out: Column | None = None, known: Model | None = None) -> DataFrame:
     """The rows of docs with lang_pred string and score double after their own columns.
 
-    held_out: rows that the fit must not see (default: crc32 of the id mod 4 is 2). Only text is
-    an input of a prediction. lang_pred is `und` with score 0 where the text is null or has no
-    letter, or where no labelled row exists; else score is the winner's regression value moved to
-    0..1; ties go to the language first by code point. Columns of docs that are called lang_pred
-    or score are replaced. Only the sample is shuffled; the model has MOST_WEIGHTS
-    weights up to 1024 languages, then 2**LEAST_BITS a language.
+    held_out: rows that the fit must not see (default: crc32 of the id mod 4 is 2); known: a model
+    to be used as it is. Only text is an input of a prediction. lang_pred is `und` with score 0
+    where the text is null or has no letter, or where no labelled row exists; else score is the
+    winner's regression value moved to 0..1; ties go to the language first by code point. Columns of
+    docs that are called lang_pred or score are replaced. Only the sample is shuffled; the model has
+    MOST_WEIGHTS weights up to 1024 languages, then 2**LEAST_BITS a language.
     """
     small_batches(docs.sparkSession)
-    held_out = remainder(F.col("doc_id"), 4) == 2 if held_out is None else held_out
-    kinds = {"doc_id": "long", "text": "string", "lang": "string"}
-    narrow = docs.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
-    model = docs.sparkSession.sparkContext.broadcast(fit(*sample(narrow, ~held_out)))
+    model = docs.sparkSession.sparkContext.broadcast(known or learned(docs, held_out))
     docs = docs.drop("lang_pred", "score")
 
     @F.pandas_udf("lang_pred string, score double")
@@ -156,7 +178,12 @@ def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
 
 
 def confident(docs: DataFrame) -> DataFrame:
-    """Pipeline filter: documents whose text has a letter, even where no language could be learned."""
+    """Pipeline filter: documents that the model takes for one of the languages it knows.
+
+    Those without a letter go, and those whose score is below CONFIDENT: no language claims them.
+    Where no language could be learned, every text with a letter stays.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = identify(docs.select("doc_id", "text", "lang", row)).filter((F.col("lang_pred") != "und") | F.col("text").rlike(r"\p{L}"))
+    rows, known = docs.select("doc_id", "text", "lang", row), learned(docs)
+    kept = identify(rows, known=known).filter(F.col("score") >= CONFIDENT) if known.labels else rows.filter(F.col("text").rlike(r"\p{L}"))
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
