@@ -1,11 +1,16 @@
-"""Interpolated modified Kneser-Ney bigram model over all training texts.
-
-Counting: tasks sort their own pairs of word hashes into packed arrays, one row a bucket; each
-bucket is merged by one task, so pairs are combined before the shuffle and memory is a bucket.
-Storing: each bucket becomes files of sorted hash arrays in the shared folder. Scoring: workers
-memory-map the files and look up a batch's distinct pairs in order; scoring needs no shuffle.
-Words are 48-bit hashes, pairs 64-bit ones. Files get a name of their own for each attempt of a
-task, and only names that the finished job returns are read, so lost executors do no harm.
+"""Interpolated modified Kneser-Ney trigram model over all training texts.
+
+Counting: tasks intern their words, sort their own trigrams and send them, packed, a row a bucket;
+each bucket is merged by one task, so trigrams are combined before the shuffle and memory is a
+bucket. Merged trigrams send their pairs on, as context (first two) and as event (last two), and
+merged pairs send on their words. Storing: every merge writes one file of sorted hashes and counts
+to the shared folder. Scoring: workers memory-map the files and look up a batch's distinct trigrams,
+pairs and words in order, in the buckets that they fall into; scoring needs no shuffle.
+
+Words are named by 64-bit hashes, pairs and trigrams by 64-bit hashes of these: of n names about
+n * n / 2**65 pairs fall together, 3e-7 of all trigrams at 10**13. Files get a name of their own
+for each attempt of a task, and only names that the finished job returns are read, so lost
+executors do no harm.
 """
 
 from __future__ import annotations
@@ -14,37 +19,44 @@ import functools
 import mmap
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import Scratch, partitions, remainder, small_batches, words
 
-#: Bytes of text that make one bucket, tokens that a task holds before it sorts them, and the
-#: parts into which the followers of a word are dealt (a frequent word has very many).
-BUCKET_BYTES, BATCH_TOKENS, SPREAD = 32 << 20, 1 << 20, np.uint64(8)
-MASK = np.uint64((1 << 48) - 1)
-#: Hashes of the end of a text and of the place before its first word.
-END, BEGIN = 1, 2
-MOST_WORDS = 200_000
+#: Bytes of text that make one bucket, tokens that are sorted or scored at once, distinct trigrams
+#: that a task holds, and the parts into which the followers of a pair are dealt.
+BUCKET_BYTES, BATCH_TOKENS, HELD, SPREAD = 32 << 20, 1 << 19, 3 << 20, np.uint64(8)
+#: Words that a task interns before it starts anew, and most parts of the word table: the number of
+#: distinct words grows far slower than the text.
+MOST_WORDS, WORD_PARTS = 400_000, 1024
+#: Interned numbers of the place before a text and of its end, and their hashes.
+BEGIN, END = 0, 1
+RADIX = np.int64(1 << 21)
 
 
-class Hashes(dict):
-    """48-bit hashes of words; a bounded memory of the words seen last."""
+class Words(dict):
+    """Words interned as 0, 1, 2, ..., and their hashes."""
+
+    def __init__(self):
+        self.new, self.seen = [2, 1], np.zeros(0, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > MOST_WORDS:
-            self.clear()
-        out = self[word] = max(3, xxhash.xxh3_64_intdigest(word) & int(MASK))
+        out = self[word] = len(self.seen) + len(self.new)
+        self.new.append(max(3, xxhash.xxh3_64_intdigest(word)))
         return out
 
-    def of(self, text: str | None) -> list[int]:
-        return [*map(self.__getitem__, words(text)), END]
+    def hashes(self) -> np.ndarray:
+        if self.new:
+            self.seen, self.new = np.concatenate([self.seen, np.array(self.new, np.uint64)]), []
+        return self.seen
 
 
 def mixed(a: np.ndarray) -> np.ndarray:
@@ -54,90 +66,142 @@ def mixed(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(31))
 
 
-def pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+def joined(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a sequence and of one word more."""
     return mixed(mixed(before) * np.uint64(3) + word)
 
 
-def summed(keys: list[np.ndarray], sums: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Rows with equal keys become one; sums is a matrix, a row for each number that is added."""
-    if not len(keys[0]):
-        return keys, sums
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    first = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]))
-    return [k[first] for k in keys], np.add.reduceat(sums[:, order], first, axis=1)
+def home(pair: np.ndarray, word: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a trigram: a pair's followers fall into SPREAD of them."""
+    return mixed(pair * SPREAD + (word & (SPREAD - np.uint64(1)))) % np.uint64(buckets)
 
 
-def pack6(a: np.ndarray) -> bytes:
-    return a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def summed(key: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of the first row of each distinct key, in the order of keys, and sums (a row for each number) added up."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return order[first], np.add.reduceat(sums[:, order], first, axis=1) if len(key) else sums
 
 
-def unpack6(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8")
+def packed(hashes: list[np.ndarray], sums: np.ndarray) -> bytes:
+    """Columns of hashes as places in their distinct values, numbers as a byte each and those over 254 apart; compressed."""
+    known, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    small = np.minimum(sums, 255).astype(np.uint8)
+    parts = [known.astype("<u8"), at.astype("<u2" if len(known) <= 1 << 16 else "<u4"), small, sums[sums > 254].astype("<i8")]
+    return np.array([len(known), len(hashes[0]), len(hashes), len(sums)], "<i8").tobytes() + zstandard.compress(b"".join(p.tobytes() for p in parts), 1)
 
 
-def pack_counts(a: np.ndarray) -> bytes:
-    """A byte a number; those over 254 follow as 64-bit numbers."""
-    return np.minimum(a, 255).astype(np.uint8).tobytes() + a[a > 254].astype("<i8").tobytes()
+def unpacked(b: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+    distinct, n, columns, rows = np.frombuffer(b, "<i8", 4).tolist()
+    raw, kind = zstandard.decompress(b[32:]), np.dtype("<u2" if distinct <= 1 << 16 else "<u4")
+    known = np.frombuffer(raw, "<u8", distinct)
+    at = 8 * distinct
+    hashes = [known[np.frombuffer(raw, kind, n, at + i * n * kind.itemsize)] for i in range(columns)]
+    at += columns * n * kind.itemsize
+    sums = np.frombuffer(raw, np.uint8, rows * n, at).astype(np.int64)
+    sums[sums == 255] = np.frombuffer(raw, "<i8", offset=at + rows * n)
+    return hashes, sums.reshape(rows, n)
 
 
-def unpack_counts(b: bytes, n: int) -> np.ndarray:
-    out = np.frombuffer(b, np.uint8, n).astype(np.int64)
-    out[out == 255] = np.frombuffer(b, "<i8", offset=n)
-    return out
+def dealt(to: np.ndarray, hashes: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed rows) of each bucket that has any."""
+    order = np.argsort(to, kind="stable")
+    found, first = np.unique(to[order], return_index=True)
+    for k, i in zip(found.tolist(), np.split(order, first[1:])):
+        yield k, packed([h[i] for h in hashes], sums[:, i])
 
 
 def counted(texts: Iterator[list[str | None]], buckets: int) -> Iterator[pd.DataFrame]:
-    """Rows (bucket, before, word, count): the packed distinct pairs of some BATCH_TOKENS tokens."""
-    hashes = Hashes()
-    held: list[tuple[list[np.ndarray], np.ndarray]] = []
+    """Rows (bucket, rows): packed distinct trigrams of a task's texts with their counts."""
+    known = Words()
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     fresh: list[int] = []
 
     def settle() -> None:
-        a = np.array(fresh, np.uint64)
+        a = np.array(fresh, np.int64)
         fresh.clear()
-        held.append(summed([a[:-1][a[1:] != BEGIN], a[1:][a[1:] != BEGIN]], np.ones((1, int((a[1:] != BEGIN).sum())), np.int64)))
+        if len(a) > 2:
+            key = ((a[:-2] * RADIX + a[1:-1]) * RADIX + a[2:])[a[2:] != BEGIN]
+            held.append(np.unique(key, return_counts=True))
 
     def out() -> Iterator[pd.DataFrame]:
-        (a, b), n = summed([np.concatenate([k[i] for k, _ in held]) for i in (0, 1)], np.concatenate([s for _, s in held], 1))
+        if not held:
+            return
+        key, n = np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held])[None]
         held.clear()
-        to = mixed(a * SPREAD + (b & (SPREAD - np.uint64(1)))) % np.uint64(buckets)
-        order = np.argsort(to, kind="stable")
-        ends = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
-        for k in range(buckets):
-            if len(i := order[ends[k] : ends[k + 1]]):
-                yield pd.DataFrame({"bucket": [k], "before": [pack6(a[i])], "word": [pack6(b[i])], "n": [pack_counts(n[0, i])]})
+        first, n = summed(key, n)
+        key, h = key[first], known.hashes()
+        u, v, w = h[key // RADIX // RADIX], h[key // RADIX % RADIX], h[key % RADIX]
+        rows = list(dealt(home(joined(u, v), w, buckets), [u, v, w], n))
+        for i in range(0, len(rows), 64):
+            yield pd.DataFrame(rows[i : i + 64], columns=["bucket", "rows"])
 
     for some in texts:
         for text in some:
-            fresh.append(BEGIN)
-            fresh += hashes.of(text)
-            if len(fresh) >= BATCH_TOKENS:
-                settle()
-        if sum(len(s[0]) for _, s in held) > 3 * BATCH_TOKENS:
-            yield from out()
-    if fresh:
-        settle()
-    if held:
-        yield from out()
+            own, last = words(text), [BEGIN, BEGIN]
+            for at in range(0, max(1, len(own)), BATCH_TOKENS):
+                if len(known) > MOST_WORDS:  # numbers change, so what is held goes; a long text goes on after its last two words
+                    settle()
+                    yield from out()
+                    known = Words()
+                    last = [BEGIN, BEGIN, *(known[x] for x in own[max(0, at - 2) : at])][-2:]
+                    fresh += last
+                elif not at:
+                    fresh += last
+                fresh += map(known.__getitem__, own[at : at + BATCH_TOKENS])
+                if len(fresh) >= BATCH_TOKENS:
+                    end = fresh[-2:]
+                    settle()
+                    fresh += end
+                    if sum(len(k) for k, _ in held) > HELD:
+                        yield from out()
+            fresh.append(END)
+    settle()
+    yield from out()
+
+
+class Table:
+    """A file of sorted hashes, each with some numbers: a byte each, those over 254 apart, in the order of their places."""
+
+    def __init__(self, data: bytes | mmap.mmap):
+        n, self.width, wide = np.frombuffer(data, "<i8", 3).tolist()
+        self.hash, at = np.frombuffer(data, "<u8", n, 24), 24 + 8 * n
+        self.place, self.value = np.frombuffer(data, "<i8", wide, at), np.frombuffer(data, "<i8", wide, at + 8 * wide)
+        self.cell = np.frombuffer(data, np.uint8, n * self.width, at + 16 * wide).reshape(n, self.width)
+
+    @staticmethod
+    def parts(h: np.ndarray, sums: np.ndarray) -> Iterator[bytes]:
+        flat = np.ascontiguousarray(sums.T).reshape(-1)
+        place = np.flatnonzero(flat > 254)
+        yield from (np.array([len(h), len(sums), len(place)], "<i8").tobytes(), h.astype("<u8").data, place.astype("<i8").data, flat[place].astype("<i8").data, np.minimum(flat, 255).astype(np.uint8).data)
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        """A row of numbers for each hash; zeros where unknown."""
+        out = np.zeros((len(h), self.width), np.int64)
+        if len(self.hash):
+            at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+            hit = np.flatnonzero(self.hash[at] == h)
+            got = self.cell[at[hit]].astype(np.int64)
+            i, j = np.nonzero(got == 255)
+            got[i, j] = self.value[np.searchsorted(self.place, at[hit[i]] * self.width + j)]
+            out[hit] = got
+        return out
 
 
-def store(folder: str, **arrays: np.ndarray) -> dict[str, str]:
-    """Writes arrays as they lie in memory; their paths."""
+def store(folder: str, h: np.ndarray, sums: np.ndarray) -> str:
+    """Writes a table; its path."""
     fs, at = pafs.FileSystem.from_uri(folder)
     fs.create_dir(at, recursive=True)
-    out = {}
-    for k, a in arrays.items():
-        out[k] = f"{folder}/{k}-{uuid.uuid4().hex}"
-        with fs.open_output_stream(f"{at}/{out[k].rpartition('/')[2]}") as f:
-            f.write(np.ascontiguousarray(a).data)
-    return out
+    name = uuid.uuid4().hex
+    with fs.open_output_stream(f"{at}/{name}") as f:
+        for part in Table.parts(h, sums):
+            f.write(part)
+    return f"{folder}/{name}"
 
 
 @functools.lru_cache(maxsize=4096)
-def mapped(path: str, kind: str) -> np.ndarray:
+def mapped(path: str) -> Table:
     """The file memory-mapped; one of a remote store is copied to a nameless local file first."""
     fs, at = pafs.FileSystem.from_uri(path)
     if isinstance(fs, pafs.LocalFileSystem):
@@ -149,77 +213,93 @@ def mapped(path: str, kind: str) -> np.ndarray:
                 f.write(some)
         f.flush()
     with f:
-        return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), kind)
+        return Table(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
-def merged(rows: Iterator[pd.DataFrame], folder: str, words_in: int) -> Iterator[pd.DataFrame]:
-    """Merges the pairs of each bucket, stores them, returns their place and what words add up to.
+def grouped(rows: Iterator[pd.DataFrame], merge: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple]], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """merge(hashes, sums) of each bucket's rows, which come one bucket after another."""
 
-    A row with part -1: a bucket's files and its pairs' counts of counts. Else packed words, with
-    raw count, number of distinct words before, sum of pairs after, and number of those counted
-    once, twice, more often.
-    """
-    names = ["hash", "count"]
-
-    def bucket(k: int, held: list) -> Iterator[pd.DataFrame]:
-        (a, b), n = summed([np.concatenate([unpack6(x[i]) for x in held]) for i in (0, 1)], np.concatenate([unpack_counts(x[2], len(x[0]) // 6) for x in held])[None])
-        h = pair(a, b)
-        order = np.argsort(h)
-        paths = store(folder, hash=h[order], count=np.minimum(n[0, order], 0xFFFFFFFF).astype(np.uint32))
-        one = np.ones_like(n[0])
-        zero = np.zeros_like(one)
-        word = summed([b], np.stack([n[0], one, zero, zero, zero, zero]))
-        context = summed([a], np.stack([zero, zero, n[0], n[0] == 1, n[0] == 2, n[0] > 2]).astype(np.int64))
-        (w,), s = summed([np.concatenate([word[0][0], context[0][0]])], np.concatenate([word[1], context[1]], 1))
-        to = mixed(w) % np.uint64(words_in)
-        order = np.argsort(to, kind="stable")
-        ends = np.searchsorted(to[order], np.arange(words_in + 1, dtype=np.uint64))
-        out = [(-1, k, *(paths[x] for x in names), b"", b"", [int((n[0] == i).sum()) for i in (1, 2, 3, 4)] + [len(h)])]
-        out += [(p, k, "", "", pack6(w[i]), b"".join(len(x := pack_counts(s[j, i])).to_bytes(4, "little") + x for j in range(6)), []) for p in range(words_in) if len(i := order[ends[p] : ends[p + 1]])]
-        yield pd.DataFrame(out, columns=["part", "bucket", *names, "words", "sums", "tops"])
+    def done(k: int, held: list[bytes]) -> Iterator[pd.DataFrame]:
+        parts = [unpacked(b) for b in held]
+        held.clear()
+        hashes = [np.concatenate([p[0][i] for p in parts]) for i in range(len(parts[0][0]))]
+        out = [(k, *x) for x in merge(hashes, np.concatenate([p[1] for p in parts], 1))]
+        for i in range(0, len(out), 64):
+            yield pd.DataFrame(out[i : i + 64], columns=["from", *columns])
 
     now, held = -1, []
     for batch in rows:
-        for k, a, b, n in zip(batch["bucket"], batch["before"], batch["word"], batch["n"]):
+        for k, b in zip(batch["bucket"], batch["rows"]):
             if k != now and held:
-                yield from bucket(now, held)
-                held = []
+                yield from done(now, held)
             now = k
-            held.append((a, b, n))
+            held.append(b)
     if held:
-        yield from bucket(now, held)
+        yield from done(now, held)
 
 
-MERGED = "part int, bucket int, hash string, count string, words binary, sums binary, tops array<long>"
+#: What a merge returns: its table's path and totals (bucket -1), then packed rows for buckets of the next.
+MERGED, COLUMNS = "from long, bucket long, path string, tops array<long>, rows binary", ["bucket", "path", "tops", "rows"]
 
 
-def sums_of(packed: bytes, n: int) -> np.ndarray:
-    out, at = [], 0
-    for _ in range(6):
-        size = int.from_bytes(packed[at : at + 4], "little")
-        out.append(unpack_counts(packed[at + 4 : at + 4 + size], n))
-        at += 4 + size
-    return np.stack(out)
+def few(n: np.ndarray) -> list[np.ndarray]:
+    """Whether each number is 1, 2, more."""
+    return [n == 1, n == 2, n > 2]
 
 
-def tabled(rows: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.DataFrame]:
-    """Merges the words of each part into sorted arrays: hash, and six columns of sums."""
+def counts_of(n: np.ndarray) -> list[int]:
+    """How many numbers are 1, 2, 3, 4."""
+    return [int((n == i).sum()) for i in (1, 2, 3, 4)]
 
-    def part(k: int, held: list) -> pd.DataFrame:
-        (w,), s = summed([np.concatenate([unpack6(x[0]) for x in held])], np.concatenate([sums_of(x[1], len(x[0]) // 6) for x in held], 1))
-        paths = store(folder, word=w, sums=s.T)
-        return pd.DataFrame({"part": [k], "word": [paths["word"]], "sums": [paths["sums"]], "tops": [[int((s[1] == i).sum()) for i in (1, 2, 3, 4)] + [int(s[1].sum()), int(s[0].sum()), int((s[0] > 0).sum()), int((s[1] > 0).sum()), int((s[1] > 1).sum()), int((s[1] > 2).sum())]]})
 
-    now, held = -1, []
-    for batch in rows:
-        for k, w, s in zip(batch["part"], batch["words"], batch["sums"]):
-            if k != now and held:
-                yield part(now, held)
-                held = []
-            now = k
-            held.append((w, s))
-    if held:
-        yield part(now, held)
+def trigrams(folder: str, buckets: int) -> Callable:
+    """Trigrams with counts are stored; their pairs go on: as context sum and numbers of those that occur once, twice, more
+    often, as event the number of distinct words before, and occurrences."""
+
+    def merge(hashes: list[np.ndarray], n: np.ndarray) -> Iterator[tuple]:
+        h = joined(joined(hashes[0], hashes[1]), hashes[2])
+        first, n = summed(h, n)
+        u, v, w = (x[first] for x in hashes)
+        n = n[0]
+        yield -1, store(folder, h[first], n[None]), counts_of(n), b""
+        zero, one = np.zeros_like(n), np.ones_like(n)
+        sums = np.concatenate([np.stack([n, *few(n), zero, zero]).astype(np.int64), np.stack([zero, zero, zero, zero, one, n])], 1)
+        x, y = np.concatenate([u, v]), np.concatenate([v, w])
+        pair = joined(x, y)
+        first, sums = summed(pair, sums)
+        yield from ((k, "", [], rows) for k, rows in dealt(pair[first] % np.uint64(buckets), [x[first], y[first]], sums))
+
+    return merge
+
+
+def pairs(folder: str, parts: int) -> Callable:
+    """Pairs are stored, five numbers each; their words go on: occurrences and number of distinct words before, as context
+    the sum of its pairs' numbers and how many of these are 1, 2, more. A pair at the begin of texts counts its occurrences."""
+
+    def merge(hashes: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        pair = joined(*hashes)
+        first, sums = summed(pair, sums)
+        x, y = (h[first] for h in hashes)
+        n = sums[4] = np.where(x == 2, sums[5], sums[4])
+        yield -1, store(folder, pair[first], sums[:5]), counts_of(n), b""
+        event = (n > 0).astype(np.int64)
+        zero = np.zeros_like(n)
+        own = np.concatenate([np.stack([sums[5], event, zero, zero, zero, zero]), np.stack([zero, zero, n, *few(n)]).astype(np.int64)], 1)
+        w = np.concatenate([y, x])
+        first, own = summed(w, own)
+        yield from ((k, "", [], rows) for k, rows in dealt(mixed(w[first]) % np.uint64(parts), [w[first]], own))
+
+    return merge
+
+
+def unigrams(folder: str) -> Callable:
+    """Words are stored, six numbers each, with what they add up to."""
+
+    def merge(hashes: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        first, s = summed(hashes[0], sums)
+        yield -1, store(folder, hashes[0][first], s), [*counts_of(s[1]), int(s[1].sum()), int(s[0].sum()), int((s[0] > 0).sum()), *(int(k.sum()) for k in few(s[1]))], b""
+
+    return merge
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -230,63 +310,47 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 
 
 class Model:
-    """The places of the arrays, and a few totals; it is small whatever the corpus."""
-
-    def __init__(self, pairs: list, parts: list):
-        self.pairs, self.parts = {r["bucket"]: (r["hash"], r["count"]) for r in pairs}, {r["part"]: (r["word"], r["sums"]) for r in parts}
-        self.d2 = discounts(*[sum(r["tops"][i] for r in pairs) for i in range(4)])
-        tops = [sum(r["tops"][i] for r in parts) for i in range(10)]
-        self.d1 = discounts(*tops[:4])
-        self.types, self.tokens, self.distinct = tops[4], tops[5], tops[6]
-        self.left = (tops[7] - tops[8]) * self.d1[1] + (tops[8] - tops[9]) * self.d1[2] + tops[9] * self.d1[3]
-        self.buckets = self.words_in = 1
-
-    def word_sums(self, w: np.ndarray) -> np.ndarray:
-        """Rows of sums for sorted distinct words; 0 where unknown."""
-        out, to = np.zeros((len(w), 6), np.int64), mixed(w) % np.uint64(self.words_in)
-        for p in np.unique(to):
-            if int(p) in self.parts:
-                known, sums = mapped(self.parts[int(p)][0], "<u8"), mapped(self.parts[int(p)][1], "<i8").reshape(-1, 6)
-                i = np.flatnonzero(to == p)
-                at = np.minimum(np.searchsorted(known, w[i]), len(known) - 1)
-                hit = known[at] == w[i]
-                out[i[hit]] = sums[at[hit]]
-        return out
+    """The places of the tables, a path a bucket, and a few totals."""
 
-    def pair_counts(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        h, to = pair(a, b), mixed(a * SPREAD + (b & (SPREAD - np.uint64(1)))) % np.uint64(self.buckets)
+    def __init__(self, tables: list[tuple[int, list]]):
+        self.buckets, self.paths = [n for n, _ in tables], [{r["from"]: r["path"] for r in rows} for _, rows in tables]
+        tops = [[sum(x) for x in zip(*(r["tops"] for r in rows))] or [0] * 10 for _, rows in tables]
+        self.d3, self.d2, self.d1 = (discounts(*t[:4]) for t in tops)
+        self.types, self.tokens, self.distinct = tops[2][4:7]
+        self.left = float(np.dot(tops[2][7:10], self.d1[1:]))
+
+    def numbers(self, level: int, h: np.ndarray, to: np.ndarray, width: int) -> np.ndarray:
+        """Of each hash its numbers; only buckets that some hash falls into are opened."""
         order = np.lexsort((h, to))
-        ends = np.searchsorted(to[order], np.arange(self.buckets + 1, dtype=np.uint64))
-        out = np.zeros(len(h), np.int64)
-        for p, (hashes, counts) in self.pairs.items():
-            if len(i := order[ends[p] : ends[p + 1]]):
-                known = mapped(hashes, "<u8")
-                at = np.minimum(np.searchsorted(known, h[i]), len(known) - 1)
-                hit = known[at] == h[i]
-                out[i[hit]] = mapped(counts, "<u4")[at[hit]]
+        found, first = np.unique(to[order], return_index=True)
+        out = np.zeros((len(h), width), np.int64)
+        for k, i in zip(found.tolist(), np.split(order, first[1:])):
+            if path := self.paths[level].get(k):
+                out[i] = mapped(path).of(h[i])
         return out
 
-    def score(self, tokens: list[list[int]]) -> tuple[np.ndarray, ...]:
-        """Of each text: tokens, known tokens, base score, score."""
-        sizes = np.array([len(t) for t in tokens])
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        w = np.fromiter((x for t in tokens for x in t), np.uint64, int(sizes.sum()))
-        before = np.concatenate([[np.uint64(BEGIN)], w[:-1]])
-        before[starts] = BEGIN
-        distinct, at = np.unique(np.concatenate([w, before]), return_inverse=True)
-        sums = self.word_sums(distinct)
-        i, j = at[: len(w)].astype(np.int64), at[len(w) :].astype(np.int64)
-        both, back = np.unique(j * len(distinct) + i, return_inverse=True)
-        j, i = both // len(distinct), both % len(distinct)
-        n = self.pair_counts(distinct[j], distinct[i])
-        one = np.maximum(sums[:, 1] - self.d1[np.minimum(sums[:, 1], 3)], 0) / max(1, self.types) + (self.left / self.types if self.types else 1.0) / (self.distinct + 1)
-        total = sums[j, 2]
-        rest = sums[j, 3:] @ self.d2[1:]
-        p = np.where(total > 0, (np.maximum(n - self.d2[np.minimum(n, 3)], 0) + rest * one[i]) / np.maximum(total, 1), one[i])
-        raw = sums[i, 0]
-        base = np.log10((raw + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
-        add = lambda x: np.add.reduceat(x[back], starts)
-        return sizes, add((raw > 0).astype(np.int64)), add(base), add(np.log10(p))
+    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word w after u and v: occurrences, base log probability, log probability."""
+        context, event = joined(u, v), joined(v, w)
+        names, one, back = np.unique(joined(context, w), return_index=True, return_inverse=True)
+        u, v, w, context, event = (x[one] for x in (u, v, w, context, event))
+        n = self.numbers(0, names, home(context, w, self.buckets[0]), 1)[:, 0]
+        pair, at = np.unique(np.concatenate([context, event]), return_inverse=True)
+        pair = self.numbers(1, pair, pair % np.uint64(self.buckets[1]), 5)
+        above, own = pair[at[: len(names)]], pair[at[len(names) :], 4]
+        word, at = np.unique(np.concatenate([v, w]), return_inverse=True)
+        word = self.numbers(2, word, mixed(word) % np.uint64(self.buckets[2]), 6)
+        before, last = word[at[: len(names)]], word[at[len(names) :]]
+
+        def level(count: np.ndarray, d: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
+            return np.where(total > 0, (np.maximum(count - d[np.minimum(count, 3)], 0) + (kinds @ d[1:]) * lower) / np.maximum(total, 1), lower)
+
+        types = max(1, self.types)
+        p = np.maximum(last[:, 1] - self.d1[np.minimum(last[:, 1], 3)], 0) / types + (self.left / types if self.types else 1.0) / (self.distinct + 1)
+        p = level(own, self.d2, before[:, 2], before[:, 3:], p)
+        p = level(n, self.d3, above[:, 0], above[:, 1:4], p)
+        base = np.log10((last[:, 0] + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
+        return last[back, 0], base[back], np.log10(p)[back]
 
 
 def train(texts: DataFrame, scratch: Scratch) -> Model:
@@ -294,16 +358,17 @@ def train(texts: DataFrame, scratch: Scratch) -> Model:
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = partitions(spark, -(-size // BUCKET_BYTES))
-    folder, words_in = f"{scratch.root}/model", max(1, buckets // 4)
-    rows = texts.select("text").mapInPandas(lambda it: counted((list(b["text"]) for b in it), buckets), "bucket int, before binary, word binary, n binary")
-    rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInPandas(lambda it: merged(it, folder, words_in), MERGED)
-    rows = scratch.table(rows)
-    parts = rows.filter("part >= 0").select("part", "words", "sums").repartition(words_in, "part").sortWithinPartitions("part")
-    parts = parts.mapInPandas(lambda it: tabled(it, folder), "part int, word string, sums string, tops array<long>").collect()
-    model = Model(rows.filter("part < 0").select("bucket", "hash", "count", "tops").collect(), parts)
-    model.buckets, model.words_in = buckets, words_in
-    scratch.drop(rows)
-    return model
+    numbers, folder = [buckets, max(1, buckets // 2), max(1, min(WORD_PARTS, buckets // 4))], f"{scratch.root}/model"
+    rows = texts.select("text").mapInPandas(lambda it: counted((list(b["text"]) for b in it), buckets), "bucket long, rows binary")
+    tables = []
+    for n, merge in zip(numbers, (trigrams(folder, numbers[1]), pairs(folder, numbers[2]), unigrams(folder))):
+        some = rows.repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket")
+        merged = scratch.table(some.mapInPandas(lambda it, m=merge: grouped(it, m, COLUMNS), MERGED))
+        tables.append((n, merged.filter("bucket < 0").select("from", "path", "tops").collect()))
+        scratch.keep(merged)
+        rows = merged.filter("bucket >= 0").select("bucket", "rows")
+    scratch.keep()
+    return Model(tables)
 
 
 def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
@@ -313,25 +378,44 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     all. A null or blank text is the end token alone. With nothing to learn from, every token has
     the probability of the unknown one. Repeated rows count and score as often as they stand.
     """
-    scratch = Scratch(docs.sparkSession, "lm")
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "lm")
+    small_batches(spark)
     held_out = remainder(F.col("doc_id"), 5) == 1 if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(rows.filter(~held_out), scratch)
-    total = model.tokens
+    total, shared = model.tokens, spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes()
+        known, ids, owner = Words(), [], []
+
+        def settle(sums: np.ndarray) -> None:
+            a, at = np.array(ids, np.int64), np.repeat(*np.array(owner, np.int64).reshape(-1, 2).T)
+            ids.clear()
+            owner.clear()
+            if len(a) > 2:
+                here = np.flatnonzero((a[2:] != BEGIN) & (at[2:] == at[:-2]))
+                h = known.hashes()[a]
+                raw, base, p = shared.value.score(h[here], h[here + 1], h[here + 2])
+                for i, x in enumerate((np.ones(len(here)), raw > 0, base, p)):
+                    sums[i] += np.bincount(at[here + 2], x, sums.shape[1])
+
         for batch in batches:
-            at, some, size = 0, [], 0
+            sums = np.zeros((4, len(batch)))
             for i, text in enumerate(batch["text"]):
-                some.append(hashes.of(text))
-                size += len(some[-1])
-                if size > BATCH_TOKENS // 2 or i + 1 == len(batch):
-                    n, known, base, s = model.score(some)
-                    part = batch.iloc[at : i + 1]
-                    yield pd.DataFrame({"doc_id": part["doc_id"], "held_out": part["held_out"], "n_tokens": n, "n_known": known, "train_tokens": total, "base_score": base, "score": s, "perplexity": 10 ** (-s / n)})
-                    at, some, size = i + 1, [], 0
+                own, last = words(text), [BEGIN, BEGIN]
+                for at in range(0, len(own) + 1, BATCH_TOKENS):  # the text's pieces, each after its two words before
+                    some = [known[x] for x in own[at : at + BATCH_TOKENS]] + [END] * (at + BATCH_TOKENS > len(own))
+                    ids += last + some
+                    owner.append((i, len(some) + 2))
+                    if len(ids) > BATCH_TOKENS or len(known) > MOST_WORDS:
+                        settle(sums)
+                        if len(known) > MOST_WORDS:
+                            known = Words()
+                    last = [BEGIN, BEGIN, *(known[x] for x in own[max(0, at + BATCH_TOKENS - 2) : at + BATCH_TOKENS])][-2:]
+            settle(sums)
+            n = sums[0].astype(np.int64)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": n, "n_known": sums[1].astype(np.int64), "train_tokens": total, "base_score": sums[2], "score": sums[3], "perplexity": 10 ** (-sums[3] / n)})
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
     return rows.withColumn("held_out", held_out).mapInPandas(run, schema)
