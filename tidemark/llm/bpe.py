@@ -24,8 +24,8 @@ from .base import small_batches
 
 #: Fixed value: the byte-level tokenizer's own split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words that a worker remembers at most; beyond it they are computed anew.
-MOST_WORDS = 150_000
+#: Words, and pairs of tokens, that a worker remembers at most; beyond it they are computed anew.
+MOST_WORDS, MOST_PAIRS = 150_000, 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -72,6 +72,8 @@ class TrieEncoder:
 
     def follows(self, a: int, b: int) -> bool:
         if (out := self.pairs.get((a, b))) is None:
+            if len(self.pairs) >= MOST_PAIRS:
+                self.pairs.clear()
             out = self.pairs[a, b] = self.plain(self.tokens[a] + self.tokens[b]) == [a, b]
         return out
 
