@@ -1,9 +1,13 @@
 """Cases in which an operator once did less than its whole job."""
 
+import time
+import tracemalloc
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import html, langid, minhash, neardup
+from tidemark.llm import base, html, langid, minhash, neardup
 
 
 def families(n=150, dims=16, seed=1):
@@ -93,3 +97,88 @@ def test_every_language_is_learned(spark):
 def test_language_stage_keeps_letters_where_nothing_is_learned(spark):
     df = spark.createDataFrame([(1, "plain words", None), (2, "\u00e9", None), (3, "12 !", None), (4, None, None)], "doc_id long, text string, lang string")
     assert sorted(r["doc_id"] for r in langid.confident(df).collect()) == [1, 2]
+
+
+ARTICLE = "<article><h1>Title here</h1><p>" + "word " * 60 + "</p></article>"
+PLAIN = "<h1>Title here</h1><p>" + "word " * 60 + "</p>"
+
+
+def test_html_spares_what_only_a_class_marks():
+    want = "Title here\n" + ("word " * 60).strip()
+    for body in (ARTICLE, PLAIN):
+        for around in ('<div class="content has-sidebar">{}</div>', '<div class="layout with-sidebar">{}<div class="sidebar">Popular now</div></div>', '<div class="search-results">{}</div>', '<div id="banner-page">{}</div>', '<div class="post comments-open">{}</div><div class="comments"><p>I say a lot.</div>'):
+            assert html.Page(f"<body><nav>Home</nav>{around.format(body)}<footer>end</footer>").main(None) == want, around
+    # furniture that holds most of a short page's text is furniture all the same
+    short = f"<body><article><h1>Title</h1><p>Only this much.</p></article><div class=sidebar>{'other ' * 20}</div><div id=comments>{'said ' * 200}</div>"
+    assert html.Page(short).main(None) == "Title\nOnly this much."
+    assert html.Page(f"<body><div class=comments>{'said ' * 200}</div>").main(None) == ""
+
+
+def test_html_keeps_titles_of_article_headers():
+    page = "<body><header><h1>Site</h1></header><article><header class=top><h1>The <b>title</b></h1><p>By me</p><nav>x</nav></header><p>Text of it.</p><section><header><h2>Part</h2></header>More.</section><footer>f</footer></article>"
+    assert html.Page(page).main(None) == "The title\nText of it.\nPart\nMore."
+
+
+def test_html_is_linear_in_depth():
+    for h in ("<font>" * 100_000 + "text", "<div>" * 100_000 + "deep text", "<p><b>" * 50_000 + "<div>x</div>" * 1000, "<table><tr><td>" * 30_000):
+        tracemalloc.start()
+        began = time.perf_counter()
+        html.Page(h).main(None)
+        assert time.perf_counter() - began < 10 and tracemalloc.get_traced_memory()[1] < 200 << 20
+        tracemalloc.stop()
+
+
+def test_html_votes(spark, monkeypatch):
+    """The winning path of each host against a count by hand, and the same texts where the winners can't be broadcast."""
+    r = np.random.default_rng(2)
+    shapes = ["<div class=a{}><p>{}</div><div class=nav>x</div>", "<main><div class=b><p>{1}</div></main>", "<section class='c d{}'>{}</section>"]
+    pages = [(i, f"http://h{i % 7}.org/{i}", "<body>" + shapes[int(r.integers(3)) if i % 3 else i % 7 % 3].format(i, "word " * (5 + i % 4))) for i in range(140)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    votes = {}
+    for _, url, h in pages:
+        path, score = html.Page(h).best()
+        votes.setdefault(url.split("/")[2], {}).setdefault(path, []).append(score)
+    won = {host: max(((len(s), sum(s), p) for p, s in v.items()))[2] for host, v in votes.items()}
+    want = {i: html.Page(h).main(won[url.split("/")[2]]) for i, url, h in pages}
+    assert {x["page_id"]: x["text"] for x in html.extract(df).collect()} == want and all(want.values())
+    monkeypatch.setattr("tidemark.llm.base.MOST_BROADCAST", 1)
+    assert {x["page_id"]: x["text"] for x in html.extract(df).collect()} == want
+
+
+def test_groups_larger_than_a_block(spark, monkeypatch):
+    """Near copies in many blocks, some of them linked with the hub by way of others only; nothing depends on block sizes."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "SIGNATURES", 8)
+    r = np.random.default_rng(4)
+    word = lambda i: f"w{i}"
+    base, rows = [word(i) for i in range(300)], []
+    for i in range(60):  # a chain: each step changes a little more of the text
+        text = list(base)
+        text[: 3 * i] = [f"x{j}" for j in range(3 * i)]
+        rows.append((i, " ".join(text)))
+    for i in range(60, 100):  # a star around the first
+        text = list(base)
+        at = int(r.integers(300))
+        text[at] = f"y{i}"
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, " ".join(f"z{i}_{j}" for j in range(50))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    comp = {i: i for i in sets}
+    for _ in sets:
+        new = {i: min(comp[j] for j in sets if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])) for i in sets}
+        if new == comp:
+            break
+        comp = new
+    assert len(set(comp.values())) == 21
+    assert {x["doc_id"]: x["component_id"] for x in minhash.link(df).collect()} == comp
+
+
+def test_shared_folder_is_asked_for():
+    from types import SimpleNamespace as Given
+
+    far = lambda folder, master: Given(conf=Given(get=lambda key, default: folder), sparkContext=Given(master=master))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        base.shared_folder(far(None, "spark://far:7077"))
+    assert base.shared_folder(far("hdfs://x/y/", "spark://far:7077")) == "hdfs://x/y"
+    assert base.shared_folder(far(None, "local[2]")).startswith("file:///")
