@@ -1,7 +1,7 @@
 """The training-data pipeline: stages on `documents`, each written and read again by the next.
 
-Judged on its own input, each stage keeps every row but those it exists to remove: languageless
-texts go, later copies of repeated line runs are cut out of texts, of near-duplicates one stays,
+Judged on its own input, each stage keeps every row but those it exists to remove: texts that no
+learned language claims go, later copies of repeated line runs are cut out of texts, of near-duplicates one stays,
 the mix takes each source up to its target, and the last stage encodes what is left.
 """
 
@@ -16,7 +16,7 @@ from tidemark.llm.queries import tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language."""
+    """Documents whose text the model takes for one of the languages that it has learned."""
     return langid.confident(docs)
 
 
