@@ -7,7 +7,9 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, base, bpe, html, langid, linededup, lm, minhash, mixing, neardup, urlfilter
@@ -159,30 +161,35 @@ def test_lm(spark, docs, none, monkeypatch):
 def test_lm_in_pieces():
     """Texts that are cut, interned words that are forgotten and counts over a byte change nothing."""
     r = random.Random(6)
-    some = [" ".join(r.choice("abcdefghij") + r.choice("uvw") for _ in range(k)) for k in (0, 1, 2, 7, 300, 2000)] + [None, "a b " * 900]
-    own = {k: getattr(lm, k) for k in ("BATCH_TOKENS", "HELD", "MOST_WORDS")}
+    some = [" ".join(r.choice("abcdefghij") + r.choice("uvw") for _ in range(k)) for k in (0, 1, 2, 7, 300, 2000)] + [None, "a b " * 900, " \t x\x0by\u00a0z \x85 \u2028É é\n", "\n", "A a"]
+    own = {k: getattr(lm, k) for k in ("TEXT_BYTES", "PIECE", "HELD", "RADIX")}
 
-    def found():
+    def found(*common):
+        named = np.array([*lm.MARKS, *(xxhash.xxh3_64_intdigest(w) >> 16 for w in common)], np.uint64)
         out = collections.Counter()
-        for part in lm.counted(iter([some[:3], some[3:]]), 5):
-            for b in part["rows"]:
-                (u, v, w), n = lm.unpacked(b)
-                for x in zip(u.tolist(), v.tolist(), w.tolist(), n[0].tolist()):
-                    out[x[:3]] += x[3]
+        for _, b in lm.counted(iter([pa.array(some[:3]), pa.array(some[3:])]), 5, named):
+            names, columns, n = lm.unpacked(b)
+            names = np.concatenate([named, names])
+            for x in zip(*(names[c].tolist() for c in columns), n[0].tolist()):
+                out[x[:3]] += x[3]
         return out
 
     whole = found()
     try:
-        for lm.BATCH_TOKENS, lm.HELD, lm.MOST_WORDS in ((7, 20, 5), (64, 50, 1000), (2, 1, 1)):
-            assert found() == whole
+        for lm.TEXT_BYTES, lm.PIECE, lm.HELD, lm.RADIX in ((7, 20, 5, 1 << 21), (1 << 20, 50, 1000, 64), (1, 1, 1, 1 << 21)):
+            assert found() == whole == found(b"au", b"bv", b"a", b"none")
     finally:
         for k, x in own.items():
             setattr(lm, k, x)
+    name = lambda w: xxhash.xxh3_64_intdigest(w) >> 16
+    begin, end = (int(x) for x in lm.MARKS)
+    want = collections.Counter(x for t in some for s in [[begin, begin, *map(name, words(t)), end]] for x in zip(s, s[1:], s[2:]))
+    assert whole == want
     assert sum(whole.values()) == sum(len(words(t)) + 1 for t in some)
-    h = np.sort(np.random.default_rng(1).integers(0, 1 << 60, 500).astype(np.uint64))
+    h = np.sort(np.random.default_rng(1).integers(0, 1 << 64, 500, np.uint64))
     sums = np.random.default_rng(2).integers(0, 400, (5, 500)) * np.where(np.arange(500) % 9, 1, 10**10)
     table = lm.Table(b"".join(bytes(x) for x in lm.Table.parts(h, sums)))
-    assert (table.of(h) == sums.T).all() and not table.of(h + np.uint64(1)).any()
+    assert (table.of(h) == sums.T).all() and not table.of(lm.mixed(h)).any()
 
 
 def vectors(seed=4):

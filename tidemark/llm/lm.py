@@ -1,16 +1,19 @@
 """Interpolated modified Kneser-Ney trigram model over all training texts.
 
-Counting: tasks intern their words, sort their own trigrams and send them, packed, a row a bucket;
-each bucket is merged by one task, so trigrams are combined before the shuffle and memory is a
-bucket. Merged trigrams send their pairs on, as context (first two) and as event (last two), and
-merged pairs send on their words. Storing: every merge writes one file of sorted hashes and counts
-to the shared folder. Scoring: workers memory-map the files and look up a batch's distinct trigrams,
-pairs and words in order, in the buckets that they fall into; scoring needs no shuffle.
-
-Words are named by 64-bit hashes, pairs and trigrams by 64-bit hashes of these: of n names about
-n * n / 2**65 pairs fall together, 3e-7 of all trigrams at 10**13. Files get a name of their own
-for each attempt of a task, and only names that the finished job returns are read, so lost
-executors do no harm.
+Counting: tasks intern their words, sort their own trigrams and send them, packed, to the bucket of
+their first two words; each bucket is merged by one task, so trigrams are combined before the
+shuffle and a bucket is its share of the text, or the distinct followers of one pair if these are
+more. A bucket then knows its pairs as contexts, and sends them on as events, with the number of
+distinct words before; these buckets send on their words. All is one job. Storing: every merge
+writes files of sorted hashes and counts to the shared folder. Scoring: workers memory-map the
+files and look up a batch's distinct trigrams, pairs and words in order, in the buckets that they
+fall into; scoring needs no shuffle.
+
+Words are named by 48-bit hashes: of n distinct words about n * n / 2**49 pairs fall together, so
+counts are exact up to some millions and off by 18 words of 10**8. Pairs and trigrams are named by
+64-bit hashes of these, of which a table keeps so many bits that an unknown one is taken for a
+known one with a chance of 3e-8. Files get a name of their
+own for each attempt of a task, and one name a bucket is read, so lost executors do no harm.
 """
 
 from __future__ import annotations
@@ -20,43 +23,59 @@ import mmap
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Scratch, partitions, remainder, small_batches, words
-
-#: Bytes of text that make one bucket, tokens that are sorted or scored at once, distinct trigrams
-#: that a task holds, and the parts into which the followers of a pair are dealt.
-BUCKET_BYTES, BATCH_TOKENS, HELD, SPREAD = 32 << 20, 1 << 19, 3 << 20, np.uint64(8)
-#: Words that a task interns before it starts anew, and most parts of the word table: the number of
-#: distinct words grows far slower than the text.
-MOST_WORDS, WORD_PARTS = 400_000, 1024
-#: Interned numbers of the place before a text and of its end, and their hashes.
-BEGIN, END = 0, 1
-RADIX = np.int64(1 << 21)
-
-
-class Words(dict):
-    """Words interned as 0, 1, 2, ..., and their hashes."""
-
-    def __init__(self):
-        self.new, self.seen = [2, 1], np.zeros(0, np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        out = self[word] = len(self.seen) + len(self.new)
-        self.new.append(max(3, xxhash.xxh3_64_intdigest(word)))
-        return out
-
-    def hashes(self) -> np.ndarray:
-        if self.new:
-            self.seen, self.new = np.concatenate([self.seen, np.array(self.new, np.uint64)]), []
-        return self.seen
+from .base import Scratch, remainder, small_batches
+
+#: Bytes of text that make one bucket, and that are cut into words at once (a longer text alone), tokens that are counted or
+#: scored at once, and that a task holds before it sorts them.
+BUCKET_BYTES, TEXT_BYTES, PIECE, HELD = 18 << 20, 4 << 20, 1 << 18, 3 << 19
+#: Most parts of the word table: the number of distinct words grows far slower than the text.
+WORD_PARTS = 1024
+#: Names of the place before a text and of its end, and their numbers.
+MARKS, BEGIN, END = np.array([0x9E3779B97F4A, 0xC2B2AE3D27D4], np.uint64), 0, 1
+#: Common words, which are sent as numbers that hold for the whole job, and documents (about) that a look for them reads:
+#: they decide how rows are packed, not what is counted.
+COMMON, LOOKED_AT = 49_152, 4000
+#: Names that a key of three numbers has room for.
+RADIX = 1 << 21
+
+
+def tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(from, to, ids, owner, names) of runs of texts: ids are places among names, BEGIN twice before each text's words and
+    END after them; owner is each id's text. Null is an empty text."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + TEXT_BYTES, "right")))
+        # A-Z lower-cased, cut at runs of the blank and the controls tab to carriage return
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(texts[at:to]))
+        words = parts.flatten().dictionary_encode()
+        own, n = words.indices.to_numpy(zero_copy_only=False), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+        who = np.repeat(np.arange(to - at), n)
+        listed = words.dictionary.cast(pa.large_binary()).to_pylist()
+        if b"" in listed:  # beside leading and trailing blanks
+            some = own != listed.index(b"")
+            own, who = own[some], who[some]
+            n = np.bincount(who, minlength=to - at)
+        names = np.concatenate([MARKS, np.fromiter((xxhash.xxh3_64_intdigest(w) >> 16 for w in listed), np.uint64, len(listed))])
+        end = np.cumsum(n + 3)
+        ids = np.full(int(end[-1]), BEGIN, np.int32)
+        ids[end - 1] = END
+        ids[np.arange(len(own)) + 3 * who + 2] = own + 2
+        yield at, to, ids, np.repeat(np.arange(to - at), n + 3), names
+        at = to
 
 
 def mixed(a: np.ndarray) -> np.ndarray:
@@ -71,121 +90,192 @@ def joined(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mixed(mixed(before) * np.uint64(3) + word)
 
 
-def home(pair: np.ndarray, word: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of a trigram: a pair's followers fall into SPREAD of them."""
-    return mixed(pair * SPREAD + (word & (SPREAD - np.uint64(1)))) % np.uint64(buckets)
-
-
-def summed(key: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of the first row of each distinct key, in the order of keys, and sums (a row for each number) added up."""
-    order = np.argsort(key, kind="stable")
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys, and where in it each distinct key begins."""
+    order = np.argsort(key)
     key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return order[first], np.add.reduceat(sums[:, order], first, axis=1) if len(key) else sums
-
-
-def packed(hashes: list[np.ndarray], sums: np.ndarray) -> bytes:
-    """Columns of hashes as places in their distinct values, numbers as a byte each and those over 254 apart; compressed."""
-    known, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    small = np.minimum(sums, 255).astype(np.uint8)
-    parts = [known.astype("<u8"), at.astype("<u2" if len(known) <= 1 << 16 else "<u4"), small, sums[sums > 254].astype("<i8")]
-    return np.array([len(known), len(hashes[0]), len(hashes), len(sums)], "<i8").tobytes() + zstandard.compress(b"".join(p.tobytes() for p in parts), 1)
-
-
-def unpacked(b: bytes) -> tuple[list[np.ndarray], np.ndarray]:
-    distinct, n, columns, rows = np.frombuffer(b, "<i8", 4).tolist()
-    raw, kind = zstandard.decompress(b[32:]), np.dtype("<u2" if distinct <= 1 << 16 else "<u4")
-    known = np.frombuffer(raw, "<u8", distinct)
-    at = 8 * distinct
-    hashes = [known[np.frombuffer(raw, kind, n, at + i * n * kind.itemsize)] for i in range(columns)]
-    at += columns * n * kind.itemsize
+    return order, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+
+
+def distinct(a: np.ndarray) -> np.ndarray:
+    a = np.sort(a)
+    return a[np.concatenate([[True], a[1:] != a[:-1]])] if len(a) else a
+
+
+def summed(key: np.ndarray, *numbers: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Place of a row of each distinct key, in the order of keys, and numbers added up."""
+    order, first = grouped(key)
+    return order[first], [np.add.reduceat(n[order], first, dtype=np.int64) if len(key) else n for n in numbers]
+
+
+def planes(a: np.ndarray, size: int) -> bytes:
+    """Numbers byte by byte: all lowest ones first."""
+    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def unplaned(raw: bytes, n: int, size: int, at: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T
+    return out.reshape(-1).view("<u8")
+
+
+def packed(names: np.ndarray, common: int, columns: list[np.ndarray], sums: np.ndarray) -> bytes:
+    """Rows in the order of their columns, compressed: the names that they use beyond the common ones, sorted, as differences;
+    columns as places among common and these names, the first two as differences; numbers as a byte each and those over 254
+    apart."""
+    used = np.zeros(len(names), bool)
+    for c in columns:
+        used[c] = True
+    own = np.flatnonzero(used[common:]) + common
+    own = own[np.argsort(names[own])]
+    rank = np.arange(len(names))
+    rank[own] = common + np.arange(len(own))
+    size = 2 if common + len(own) <= 1 << 16 else 3
+    columns = [rank[c] for c in columns]
+    order = np.argsort(columns[0] << 32 | columns[1] if len(columns) > 1 else columns[0])
+    columns, sums = [c[order] for c in columns], sums[:, order]
+    columns[:2] = [np.diff(c, prepend=0) for c in columns[:2]]  # of the second, modulo its bytes
+    body = [planes(np.diff(names[own], prepend=np.uint64(0)), 6), *(planes(c, size) for c in columns), np.minimum(sums, 255).astype(np.uint8).tobytes(), sums[sums > 254].astype("<i8").tobytes()]
+    return np.array([len(own), size, len(order), len(columns), len(sums)], "<i8").tobytes() + zstandard.compress(b"".join(body), 1)
+
+
+def unpacked(b: bytes) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Names beyond the common ones, columns of places among both, numbers."""
+    own, size, n, width, rows = np.frombuffer(b, "<i8", 5).tolist()
+    raw = zstandard.decompress(b[40:])
+    names, at = np.cumsum(unplaned(raw, own, 6, 0)), 6 * own
+    columns = [unplaned(raw, n, size, at + i * n * size).astype(np.int64) for i in range(width)]
+    columns[:2] = [np.cumsum(c) & (256**size - 1) for c in columns[:2]]
+    at += width * n * size
     sums = np.frombuffer(raw, np.uint8, rows * n, at).astype(np.int64)
     sums[sums == 255] = np.frombuffer(raw, "<i8", offset=at + rows * n)
-    return hashes, sums.reshape(rows, n)
+    return names, columns, sums.reshape(rows, n)
 
 
-def dealt(to: np.ndarray, hashes: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def dealt(to: np.ndarray, names: np.ndarray, common: int, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed rows) of each bucket that has any."""
-    order = np.argsort(to, kind="stable")
+    order = np.argsort(to.astype(np.uint16) if len(to) and to.max() < 1 << 16 else to, kind="stable")
     found, first = np.unique(to[order], return_index=True)
     for k, i in zip(found.tolist(), np.split(order, first[1:])):
-        yield k, packed([h[i] for h in hashes], sums[:, i])
+        yield k, packed(names, common, [c[i] for c in columns], sums[:, i])
 
 
-def counted(texts: Iterator[list[str | None]], buckets: int) -> Iterator[pd.DataFrame]:
-    """Rows (bucket, rows): packed distinct trigrams of a task's texts with their counts."""
-    known = Words()
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    fresh: list[int] = []
+def numbered(names: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names after the common ones, and the place of each name among both."""
+    order = np.argsort(common, kind="stable")
+    at = np.minimum(np.searchsorted(common, names, sorter=order), len(common) - 1)
+    known = common[order[at]] == names
+    rest = distinct(names[~known])
+    out = np.where(known, order[at], 0)
+    out[~known] = len(common) + np.searchsorted(rest, names[~known])
+    return np.concatenate([common, rest]), out
 
-    def settle() -> None:
-        a = np.array(fresh, np.int64)
-        fresh.clear()
-        if len(a) > 2:
-            key = ((a[:-2] * RADIX + a[1:-1]) * RADIX + a[2:])[a[2:] != BEGIN]
-            held.append(np.unique(key, return_counts=True))
 
-    def out() -> Iterator[pd.DataFrame]:
-        if not held:
-            return
-        key, n = np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held])[None]
+def counted(texts: Iterator[pa.Array], buckets: int, common: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed rows): distinct trigrams of some HELD tokens with their counts."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def out() -> Iterator[tuple[int, bytes]]:
+        names, at = numbered(np.concatenate([n for n, _ in held]), common)
+        keys, first = [], 0
+        for own, ids in held:
+            a = at[first : first + len(own)][ids]
+            first += len(own)
+            keys.append(((a[:-2] * RADIX + a[1:-1]) * RADIX + a[2:])[a[2:] != BEGIN])
         held.clear()
-        first, n = summed(key, n)
-        key, h = key[first], known.hashes()
-        u, v, w = h[key // RADIX // RADIX], h[key // RADIX % RADIX], h[key % RADIX]
-        rows = list(dealt(home(joined(u, v), w, buckets), [u, v, w], n))
-        for i in range(0, len(rows), 64):
-            yield pd.DataFrame(rows[i : i + 64], columns=["bucket", "rows"])
+        key = np.sort(np.concatenate(keys))
+        if not len(key):
+            return
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n, key = np.diff(first, append=len(key)), key[first]
+        u, v, w = (x.astype(np.int32) for x in (key // (RADIX * RADIX), key // RADIX % RADIX, key % RADIX))
+        del keys, key, first
+        pa.default_memory_pool().release_unused()
+        yield from dealt(joined(names[u], names[v]) % np.uint64(buckets), names, len(common), [u, v, w], n[None])
 
     for some in texts:
-        for text in some:
-            own, last = words(text), [BEGIN, BEGIN]
-            for at in range(0, max(1, len(own)), BATCH_TOKENS):
-                if len(known) > MOST_WORDS:  # numbers change, so what is held goes; a long text goes on after its last two words
-                    settle()
+        for _, _, ids, _, names in tokens(some):
+            for at in range(0, len(ids) - 2, PIECE):  # each piece after the two words before it
+                piece = ids[at : at + PIECE + 2]
+                used = np.zeros(len(names), bool)
+                used[piece] = True
+                if held and (sum(len(x) for _, x in held) > HELD or sum(len(x) for x, _ in held) + used.sum() + len(common) > RADIX):
                     yield from out()
-                    known = Words()
-                    last = [BEGIN, BEGIN, *(known[x] for x in own[max(0, at - 2) : at])][-2:]
-                    fresh += last
-                elif not at:
-                    fresh += last
-                fresh += map(known.__getitem__, own[at : at + BATCH_TOKENS])
-                if len(fresh) >= BATCH_TOKENS:
-                    end = fresh[-2:]
-                    settle()
-                    fresh += end
-                    if sum(len(k) for k, _ in held) > HELD:
-                        yield from out()
-            fresh.append(END)
-    settle()
-    yield from out()
+                held.append((names[used], (np.cumsum(used) - 1)[piece]))
+    if held:
+        yield from out()
 
 
 class Table:
-    """A file of sorted hashes, each with some numbers: a byte each, those over 254 apart, in the order of their places."""
+    """A file of sorted hashes, each with some numbers.
+
+    Of a hash the upper bits are an index into the file, so about 16 share them, and the next 29 are
+    kept with the number of the row's numbers among the 7 most frequent rows. Other rows stand apart
+    in the order of their places, a byte a number, and numbers over 254 apart once more.
+    """
 
     def __init__(self, data: bytes | mmap.mmap):
-        n, self.width, wide = np.frombuffer(data, "<i8", 3).tolist()
-        self.hash, at = np.frombuffer(data, "<u8", n, 24), 24 + 8 * n
-        self.place, self.value = np.frombuffer(data, "<i8", wide, at), np.frombuffer(data, "<i8", wide, at + 8 * wide)
-        self.cell = np.frombuffer(data, np.uint8, n * self.width, at + 16 * wide).reshape(n, self.width)
+        n, self.width, self.bits, apart, wide = np.frombuffer(data, "<i8", 5).tolist()
+        at = 40
+
+        def part(kind: str, count: int) -> np.ndarray:
+            nonlocal at
+            out = np.frombuffer(data, kind, count, at)
+            at += out.nbytes
+            return out
+
+        self.book = part("<i8", 8 * self.width).reshape(8, self.width)
+        self.spot, self.value = part("<i8", wide), part("<i8", wide)
+        self.start, self.rest, self.place = part("<u4", (1 << self.bits) + 1), part("<u4", n), part("<u4", apart)
+        self.cell = part("u1", apart * self.width).reshape(apart, self.width)
+
+    @staticmethod
+    def split(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        upper = h >> np.uint64(64 - bits) if bits else np.zeros(len(h), np.uint64)
+        return upper.astype(np.int64), (h >> np.uint64(35 - bits)).astype(np.uint32) & np.uint32((1 << 29) - 1)
 
     @staticmethod
     def parts(h: np.ndarray, sums: np.ndarray) -> Iterator[bytes]:
-        flat = np.ascontiguousarray(sums.T).reshape(-1)
-        place = np.flatnonzero(flat > 254)
-        yield from (np.array([len(h), len(sums), len(place)], "<i8").tobytes(), h.astype("<u8").data, place.astype("<i8").data, flat[place].astype("<i8").data, np.minimum(flat, 255).astype(np.uint8).data)
+        """The file of sorted hashes and of sums, a row for each number."""
+        bits, rows = max(0, min(24, len(h).bit_length() - 5)), np.ascontiguousarray(sums.T.astype(np.int64))
+        key = functools.reduce(joined, rows.T.astype(np.uint64))
+        _, first, same, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        most = np.argsort(-times, kind="stable")[:7]
+        code = np.full(len(first), 7, np.uint32)
+        code[most] = np.arange(len(most))
+        code, book = code[same], np.zeros((8, len(sums)), np.int64)
+        book[: len(most)] = rows[first[most]]
+        place = np.flatnonzero(code == 7)
+        flat = rows[place].reshape(-1)
+        spot = np.flatnonzero(flat > 254)
+        upper, rest = Table.split(h, bits)
+        yield np.array([len(h), len(sums), bits, len(place), len(spot)], "<i8").tobytes() + book.tobytes() + spot.astype("<i8").tobytes() + flat[spot].tobytes()
+        yield np.searchsorted(upper, np.arange((1 << bits) + 1)).astype("<u4").tobytes()
+        yield (rest << np.uint32(3) | code).astype("<u4").tobytes()
+        yield place.astype("<u4").tobytes() + np.minimum(flat, 255).astype(np.uint8).tobytes()
 
     def of(self, h: np.ndarray) -> np.ndarray:
         """A row of numbers for each hash; zeros where unknown."""
         out = np.zeros((len(h), self.width), np.int64)
-        if len(self.hash):
-            at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-            hit = np.flatnonzero(self.hash[at] == h)
-            got = self.cell[at[hit]].astype(np.int64)
+        if not len(self.rest):
+            return out
+        upper, rest = self.split(h, self.bits)
+        lo, hi = self.start[upper].astype(np.int64), self.start[upper + 1].astype(np.int64)
+        end, last, want = hi.copy(), len(self.rest) - 1, rest << np.uint32(3)
+        for _ in range(int((hi - lo).max(initial=0)).bit_length()):  # least place that is not smaller
+            mid = (lo + hi) >> 1
+            less = (self.rest[np.minimum(mid, last)] < want) & (lo < hi)
+            lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+        found = self.rest[np.minimum(lo, last)]
+        hit = np.flatnonzero((lo < end) & (found >> np.uint32(3) == rest))
+        code = found[hit] & np.uint32(7)
+        out[hit] = self.book[code]
+        if len(far := hit[code == 7]):
+            at = np.searchsorted(self.place, lo[far])
+            got = self.cell[at].astype(np.int64)
             i, j = np.nonzero(got == 255)
-            got[i, j] = self.value[np.searchsorted(self.place, at[hit[i]] * self.width + j)]
-            out[hit] = got
+            got[i, j] = self.value[np.searchsorted(self.spot, at[i] * self.width + j)]
+            out[far] = got
         return out
 
 
@@ -216,30 +306,8 @@ def mapped(path: str) -> Table:
         return Table(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
-def grouped(rows: Iterator[pd.DataFrame], merge: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple]], columns: list[str]) -> Iterator[pd.DataFrame]:
-    """merge(hashes, sums) of each bucket's rows, which come one bucket after another."""
-
-    def done(k: int, held: list[bytes]) -> Iterator[pd.DataFrame]:
-        parts = [unpacked(b) for b in held]
-        held.clear()
-        hashes = [np.concatenate([p[0][i] for p in parts]) for i in range(len(parts[0][0]))]
-        out = [(k, *x) for x in merge(hashes, np.concatenate([p[1] for p in parts], 1))]
-        for i in range(0, len(out), 64):
-            yield pd.DataFrame(out[i : i + 64], columns=["from", *columns])
-
-    now, held = -1, []
-    for batch in rows:
-        for k, b in zip(batch["bucket"], batch["rows"]):
-            if k != now and held:
-                yield from done(now, held)
-            now = k
-            held.append(b)
-    if held:
-        yield from done(now, held)
-
-
-#: What a merge returns: its table's path and totals (bucket -1), then packed rows for buckets of the next.
-MERGED, COLUMNS = "from long, bucket long, path string, tops array<long>, rows binary", ["bucket", "path", "tops", "rows"]
+#: What a merge passes on: packed rows for a bucket of the next, or (bucket -1) a file that it has written and its totals.
+STEP = "bucket long, rows binary, level int, number long, path string, tops array<long>"
 
 
 def few(n: np.ndarray) -> list[np.ndarray]:
@@ -252,54 +320,105 @@ def counts_of(n: np.ndarray) -> list[int]:
     return [int((n == i).sum()) for i in (1, 2, 3, 4)]
 
 
-def trigrams(folder: str, buckets: int) -> Callable:
-    """Trigrams with counts are stored; their pairs go on: as context sum and numbers of those that occur once, twice, more
-    often, as event the number of distinct words before, and occurrences."""
-
-    def merge(hashes: list[np.ndarray], n: np.ndarray) -> Iterator[tuple]:
-        h = joined(joined(hashes[0], hashes[1]), hashes[2])
-        first, n = summed(h, n)
-        u, v, w = (x[first] for x in hashes)
-        n = n[0]
-        yield -1, store(folder, h[first], n[None]), counts_of(n), b""
-        zero, one = np.zeros_like(n), np.ones_like(n)
-        sums = np.concatenate([np.stack([n, *few(n), zero, zero]).astype(np.int64), np.stack([zero, zero, zero, zero, one, n])], 1)
-        x, y = np.concatenate([u, v]), np.concatenate([v, w])
-        pair = joined(x, y)
-        first, sums = summed(pair, sums)
-        yield from ((k, "", [], rows) for k, rows in dealt(pair[first] % np.uint64(buckets), [x[first], y[first]], sums))
+class Merge:
+    """Merges the rows of each bucket: stores tables, sends rows to buckets of the next merge."""
 
-    return merge
+    def __init__(self, folder: str, buckets: int, common: Callable[[], np.ndarray]):
+        self.folder, self.buckets, self.common = folder, buckets, common
 
+    def file(self, level: int, k: int, h: np.ndarray, sums: np.ndarray, tops: list[int]) -> tuple:
+        return -1, None, level, k, store(self.folder, h, sums), tops
 
-def pairs(folder: str, parts: int) -> Callable:
-    """Pairs are stored, five numbers each; their words go on: occurrences and number of distinct words before, as context
-    the sum of its pairs' numbers and how many of these are 1, 2, more. A pair at the begin of texts counts its occurrences."""
+    def sent(self, to: np.ndarray, names: np.ndarray, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        return ((i, rows, None, None, None, None) for i, rows in dealt(to, names, len(self.common()), columns, sums))
 
-    def merge(hashes: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
-        pair = joined(*hashes)
-        first, sums = summed(pair, sums)
-        x, y = (h[first] for h in hashes)
-        n = sums[4] = np.where(x == 2, sums[5], sums[4])
-        yield -1, store(folder, pair[first], sums[:5]), counts_of(n), b""
-        event = (n > 0).astype(np.int64)
-        zero = np.zeros_like(n)
-        own = np.concatenate([np.stack([sums[5], event, zero, zero, zero, zero]), np.stack([zero, zero, n, *few(n)]).astype(np.int64)], 1)
-        w = np.concatenate([y, x])
-        first, own = summed(w, own)
-        yield from ((k, "", [], rows) for k, rows in dealt(mixed(w[first]) % np.uint64(parts), [w[first]], own))
+    def bucket(self, k: int, names: np.ndarray, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        raise NotImplementedError
 
-    return merge
-
-
-def unigrams(folder: str) -> Callable:
-    """Words are stored, six numbers each, with what they add up to."""
-
-    def merge(hashes: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
-        first, s = summed(hashes[0], sums)
-        yield -1, store(folder, hashes[0][first], s), [*counts_of(s[1]), int(s[1].sum()), int(s[0].sum()), int((s[0] > 0).sum()), *(int(k.sum()) for k in few(s[1]))], b""
-
-    return merge
+    def done(self, k: int, held: list[bytes]) -> Iterator[pd.DataFrame]:
+        parts = [unpacked(b) for b in held]
+        held.clear()
+        names = distinct(np.concatenate([p[0] for p in parts]))
+        common = self.common()
+        at = [np.concatenate([np.arange(len(common)), len(common) + np.searchsorted(names, p[0])]) for p in parts]
+        names = np.concatenate([common, names])
+        columns = [np.concatenate([a[p[1][i]] for a, p in zip(at, parts)]).astype(np.int32) for i in range(len(parts[0][1]))]
+        sums = np.concatenate([p[2] for p in parts], 1)
+        del parts
+        out = []
+        for row in self.bucket(k, names, columns, sums):
+            out.append(row)
+            if len(out) == 16:
+                yield pd.DataFrame(out, columns=COLUMNS)
+                out = []
+        if out:
+            yield pd.DataFrame(out, columns=COLUMNS)
+
+    def __call__(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = -1, []
+        for batch in batches:
+            earlier = batch[batch["bucket"] < 0]  # files of the merges before
+            if len(earlier):
+                yield earlier.reindex(columns=COLUMNS)
+            for k, b in zip(batch["bucket"], batch["rows"]):
+                if k >= 0:
+                    if k != now and held:
+                        yield from self.done(now, held)
+                    now = k
+                    held.append(b)
+        if held:
+            yield from self.done(now, held)
+
+
+COLUMNS = [c.split()[0] for c in STEP.split(", ")]
+
+
+class Trigrams(Merge):
+    """Level 0: trigrams with counts. Level 1: their first two words as contexts: sum, and how many occur once, twice, more.
+    On go their last two as events: number of distinct words before, and occurrences."""
+
+    def bucket(self, k: int, names: np.ndarray, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        h = joined(joined(names[columns[0]], names[columns[1]]), names[columns[2]])
+        first, (n,) = summed(h, sums[0])
+        u, v, w = (c[first] for c in columns)
+        h = h[first]
+        columns.clear()
+        yield self.file(0, k, h, n[None], counts_of(n))
+        context = joined(names[u], names[v])
+        at, own = summed(context, n, *few(n))
+        yield self.file(1, k, context[at], np.stack(own), [])
+        del h, u, context
+        event = joined(names[v], names[w])
+        at, own = summed(event, np.ones(len(n), np.int64), n)
+        yield from self.sent(event[at] % np.uint64(self.buckets), names, [v[at], w[at]], np.stack(own))
+
+
+class Pairs(Merge):
+    """Level 2: pairs as events: number of distinct words before, at the begin of texts occurrences. On go words: occurrences
+    and number of distinct words before; as context the sum of its events' numbers and how many of these are 1, 2, more."""
+
+    def bucket(self, k: int, names: np.ndarray, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        pair = joined(names[columns[0]], names[columns[1]])
+        first, (n, raw) = summed(pair, *sums)
+        x, y = (c[first] for c in columns)
+        columns.clear()
+        n = np.where(names[x] == MARKS[BEGIN], raw, n)
+        yield self.file(2, k, pair[first], n[None], counts_of(n))
+        each = lambda at, weight=None: np.bincount(at, weight, len(names)).astype(np.int64)
+        own = np.stack([each(y, raw), each(y), each(x, n), *(each(x[i]) for i in few(n))])
+        word = np.flatnonzero(own.any(0))
+        yield from self.sent(mixed(names[word]) % np.uint64(self.buckets), names, [word], own[:, word])
+
+
+class Unigrams(Merge):
+    """Level 3: words, six numbers each, with what they add up to."""
+
+    def bucket(self, k: int, names: np.ndarray, columns: list[np.ndarray], sums: np.ndarray) -> Iterator[tuple]:
+        word = mixed(names[columns[0]])
+        first, s = summed(word, *sums)
+        s = np.stack(s)
+        tops = [*counts_of(s[1]), int(s[1].sum()), int(s[0].sum()), int((s[0] > 0).sum()), *(int(x.sum()) for x in few(s[1]))]
+        yield self.file(3, k, word[first], s, tops)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
@@ -312,16 +431,21 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 class Model:
     """The places of the tables, a path a bucket, and a few totals."""
 
-    def __init__(self, tables: list[tuple[int, list]]):
-        self.buckets, self.paths = [n for n, _ in tables], [{r["from"]: r["path"] for r in rows} for _, rows in tables]
-        tops = [[sum(x) for x in zip(*(r["tops"] for r in rows))] or [0] * 10 for _, rows in tables]
-        self.d3, self.d2, self.d1 = (discounts(*t[:4]) for t in tops)
-        self.types, self.tokens, self.distinct = tops[2][4:7]
-        self.left = float(np.dot(tops[2][7:10], self.d1[1:]))
+    def __init__(self, buckets: list[int], files: list):
+        self.buckets, self.paths = buckets, [{}, {}, {}, {}]
+        tops: list[list[int]] = [[0] * 10 for _ in range(4)]
+        for r in files:
+            if r["number"] not in self.paths[r["level"]]:  # a task that ran twice may have told of two
+                self.paths[r["level"]][r["number"]] = r["path"]
+                for i, n in enumerate(r["tops"]):
+                    tops[r["level"]][i] += n
+        self.d3, self.d2, self.d1 = (discounts(*tops[i][:4]) for i in (0, 2, 3))
+        self.types, self.tokens, self.distinct = tops[3][4:7]
+        self.left = float(np.dot(tops[3][7:10], self.d1[1:]))
 
     def numbers(self, level: int, h: np.ndarray, to: np.ndarray, width: int) -> np.ndarray:
         """Of each hash its numbers; only buckets that some hash falls into are opened."""
-        order = np.lexsort((h, to))
+        order = np.argsort(to.astype(np.uint16) if self.buckets[0] <= 1 << 16 else to, kind="stable")
         found, first = np.unique(to[order], return_index=True)
         out = np.zeros((len(h), width), np.int64)
         for k, i in zip(found.tolist(), np.split(order, first[1:])):
@@ -329,46 +453,71 @@ class Model:
                 out[i] = mapped(path).of(h[i])
         return out
 
-    def score(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word w after u and v: occurrences, base log probability, log probability."""
-        context, event = joined(u, v), joined(v, w)
-        names, one, back = np.unique(joined(context, w), return_index=True, return_inverse=True)
-        u, v, w, context, event = (x[one] for x in (u, v, w, context, event))
-        n = self.numbers(0, names, home(context, w, self.buckets[0]), 1)[:, 0]
-        pair, at = np.unique(np.concatenate([context, event]), return_inverse=True)
-        pair = self.numbers(1, pair, pair % np.uint64(self.buckets[1]), 5)
-        above, own = pair[at[: len(names)]], pair[at[len(names) :], 4]
-        word, at = np.unique(np.concatenate([v, w]), return_inverse=True)
-        word = self.numbers(2, word, mixed(word) % np.uint64(self.buckets[2]), 6)
-        before, last = word[at[: len(names)]], word[at[len(names) :]]
+    def score(self, ids: np.ndarray, names: np.ndarray, here: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the words at here + 2, each after the two before it: occurrences, base log probability, log probability.
+
+        ids: a sequence of places among names.
+        """
+        used = np.zeros(len(names), np.int64)
+        used[ids] = 1
+        own = mixed(names[used > 0])
+        word = self.numbers(3, own, own % np.uint64(self.buckets[2]), 6)
+        at = (np.cumsum(used) - 1)[ids]
+        before, last = word[at[here + 1]], word[at[here + 2]]
+        h = names[ids]
+        pair = joined(h[:-1], h[1:])
+        own, at = np.unique(pair, return_inverse=True)
+        to = own % np.uint64(self.buckets[0])
+        above, event = self.numbers(1, own, to, 4)[at[here]], self.numbers(2, own, to, 1)[at[here + 1], 0]
+        n = self.numbers(0, joined(pair[here], h[here + 2]), to[at[here]], 1)[:, 0]
 
         def level(count: np.ndarray, d: np.ndarray, total: np.ndarray, kinds: np.ndarray, lower: np.ndarray) -> np.ndarray:
             return np.where(total > 0, (np.maximum(count - d[np.minimum(count, 3)], 0) + (kinds @ d[1:]) * lower) / np.maximum(total, 1), lower)
 
         types = max(1, self.types)
         p = np.maximum(last[:, 1] - self.d1[np.minimum(last[:, 1], 3)], 0) / types + (self.left / types if self.types else 1.0) / (self.distinct + 1)
-        p = level(own, self.d2, before[:, 2], before[:, 3:], p)
-        p = level(n, self.d3, above[:, 0], above[:, 1:4], p)
+        p = level(event, self.d2, before[:, 2], before[:, 3:], p)
+        p = level(n, self.d3, above[:, 0], above[:, 1:], p)
         base = np.log10((last[:, 0] + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
-        return last[back, 0], base[back], np.log10(p)[back]
+        return last[:, 0], base, np.log10(p)
+
+
+def common_names(texts: DataFrame, n: int) -> np.ndarray:
+    """The marks, and the names of the most frequent words of a few documents, the most frequent first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, ids, _, names in tokens(batch.column(0)):
+                uses = np.bincount(ids, minlength=len(names))[2:]
+                yield pa.RecordBatch.from_arrays([pa.array(names[2:].astype(np.int64)), pa.array(uses)], ["name", "n"])
+
+    some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, LOOKED_AT / max(1, n)) * (1 << 30)))
+    top = some.select("text").mapInArrow(run, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1")
+    return np.array([*MARKS, *(r["name"] for r in top.orderBy(F.desc("n"), "name").limit(COMMON).collect())], np.uint64)
 
 
 def train(texts: DataFrame, scratch: Scratch) -> Model:
     """A model of all texts (column text) of the DataFrame."""
     spark = texts.sparkSession
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = partitions(spark, -(-size // BUCKET_BYTES))
-    numbers, folder = [buckets, max(1, buckets // 2), max(1, min(WORD_PARTS, buckets // 4))], f"{scratch.root}/model"
-    rows = texts.select("text").mapInPandas(lambda it: counted((list(b["text"]) for b in it), buckets), "bucket long, rows binary")
-    tables = []
-    for n, merge in zip(numbers, (trigrams(folder, numbers[1]), pairs(folder, numbers[2]), unigrams(folder))):
-        some = rows.repartitionById(n, F.col("bucket").cast("int")).sortWithinPartitions("bucket")
-        merged = scratch.table(some.mapInPandas(lambda it, m=merge: grouped(it, m, COLUMNS), MERGED))
-        tables.append((n, merged.filter("bucket < 0").select("from", "path", "tops").collect()))
-        scratch.keep(merged)
-        rows = merged.filter("bucket >= 0").select("bucket", "rows")
-    scratch.keep()
-    return Model(tables)
+    n, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    common = spark.sparkContext.broadcast(common_names(texts, n))
+    shared = functools.partial(_value, common)
+    numbers, folder = [buckets, buckets, max(1, min(WORD_PARTS, buckets // 4))], f"{scratch.root}/model"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, rows in counted((b.column(0) for b in batches), buckets, common.value):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([rows], pa.binary())], ["bucket", "rows"])
+
+    rows = texts.select("text").mapInArrow(count, "bucket long, rows binary")
+    for n, merge in zip(numbers, (Trigrams(folder, numbers[1], shared), Pairs(folder, numbers[2], shared), Unigrams(folder, 1, shared))):
+        # files that are told of have bucket -1 and come first
+        rows = rows.repartitionById(n, F.greatest("bucket", F.lit(0)).cast("int")).sortWithinPartitions("bucket").mapInPandas(merge, STEP)
+    return Model(numbers, rows.select("level", "number", "path", "tops").collect())
+
+
+def _value(broadcast: Any) -> Any:
+    return broadcast.value
 
 
 def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
@@ -386,36 +535,21 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
     model = train(rows.filter(~held_out), scratch)
     total, shared = model.tokens, spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, ids, owner = Words(), [], []
-
-        def settle(sums: np.ndarray) -> None:
-            a, at = np.array(ids, np.int64), np.repeat(*np.array(owner, np.int64).reshape(-1, 2).T)
-            ids.clear()
-            owner.clear()
-            if len(a) > 2:
-                here = np.flatnonzero((a[2:] != BEGIN) & (at[2:] == at[:-2]))
-                h = known.hashes()[a]
-                raw, base, p = shared.value.score(h[here], h[here + 1], h[here + 2])
-                for i, x in enumerate((np.ones(len(here)), raw > 0, base, p)):
-                    sums[i] += np.bincount(at[here + 2], x, sums.shape[1])
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = np.zeros((4, len(batch)))
-            for i, text in enumerate(batch["text"]):
-                own, last = words(text), [BEGIN, BEGIN]
-                for at in range(0, len(own) + 1, BATCH_TOKENS):  # the text's pieces, each after its two words before
-                    some = [known[x] for x in own[at : at + BATCH_TOKENS]] + [END] * (at + BATCH_TOKENS > len(own))
-                    ids += last + some
-                    owner.append((i, len(some) + 2))
-                    if len(ids) > BATCH_TOKENS or len(known) > MOST_WORDS:
-                        settle(sums)
-                        if len(known) > MOST_WORDS:
-                            known = Words()
-                    last = [BEGIN, BEGIN, *(known[x] for x in own[max(0, at + BATCH_TOKENS - 2) : at + BATCH_TOKENS])][-2:]
-            settle(sums)
+            if not batch.num_rows:
+                continue
+            sums = np.zeros((4, batch.num_rows))
+            for first, to, ids, owner, names in tokens(batch.column("text")):
+                for at in range(0, len(ids) - 2, PIECE):  # each piece after the two words before it
+                    piece, who = ids[at : at + PIECE + 2], owner[at : at + PIECE + 2]
+                    here = np.flatnonzero(piece[2:] != BEGIN)
+                    raw, base, p = shared.value.score(piece, names, here)
+                    for i, x in enumerate((np.ones(len(here)), raw > 0, base, p)):
+                        sums[i, first:to] += np.bincount(who[here + 2], x, to - first)
             n = sums[0].astype(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "n_tokens": n, "n_known": sums[1].astype(np.int64), "train_tokens": total, "base_score": sums[2], "score": sums[3], "perplexity": 10 ** (-sums[3] / n)})
+            arrays = [batch.column("doc_id"), batch.column("held_out"), *map(pa.array, (n, sums[1].astype(np.int64), np.full(len(n), total), sums[2], sums[3], 10 ** (-sums[3] / n)))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
-    return rows.withColumn("held_out", held_out).mapInPandas(run, schema)
+    return rows.withColumn("held_out", held_out).mapInArrow(run, schema)
