@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import Scratch, broadcast_if, components, small_batches, words
+from .base import Scratch, broadcast_if, components, small_batches, spread_join, words
 from .lm import mixed
 
 SYMBOLS, BITS, CHUNKS, ERRORS = 80, 16, 16, 1
@@ -224,7 +224,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, width: int, pe
     chosen = found.join(reps.select("node", "rep", "n_shingles"), "node")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("long")
     size = scratch.table(chosen.groupBy("root").agg(blocks.alias("blocks")).filter("blocks > 1"))
-    chosen = chosen.join(broadcast_if(size, F.lit(16)), "root", "left")
+    chosen = spread_join(chosen, size, "root", F.lit(24), F.col("node"))
     chosen = scratch.table(chosen.select("rep", F.col("root").alias("group"), "node", F.coalesce("blocks", F.lit(1).cast("long")).alias("blocks"), (F.col("node") == F.col("root")).alias("hub")))
 
     def sets(df: DataFrame) -> DataFrame:
@@ -260,9 +260,10 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     found = components(scratch, candidates(reps, scratch))
     linked = components(scratch, confirmed(docs, reps, found, width, percent, scratch))
     scratch.keep(rows, reps, linked)
-    named = reps.select("node", "rep").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "root").select("node", "component_id")
+    members = reps.select("node", "rep").join(linked, "node")
+    least = members.groupBy("root").agg(F.min("rep").alias("component_id"))
+    members = spread_join(members, least, "root", F.lit(24), F.col("node")).select("node", "component_id")
+    named = reps.select("node", "rep").join(members, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
     out = rows.drop("sig").join(named, "node", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), F.col("node").alias("class_id"))
@@ -291,7 +292,9 @@ def first_of_groups(docs: DataFrame) -> DataFrame:
     found = link(rows.select(F.col("name").alias("doc_id"), F.col("t").alias("text"))).select(F.col("doc_id").alias("name"), "component_id")
     # groups of one lose nothing
     found = scratch.table(found)
-    several = found.join(found.groupBy("component_id").count().filter("count > 1"), "component_id").join(rows.select("name", "id"), "name")
+    large = scratch.table(found.groupBy("component_id").count().filter("count > 1"))
+    several = spread_join(found, large, "component_id", F.lit(24), F.col("name")).filter("count > 1").join(rows.select("name", "id"), "name")
     first = several.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "name"))["name"].alias("stays"))
-    lost = scratch.table(several.join(first, "component_id").filter("name <> stays").select("name"))
+    lost = spread_join(several, scratch.table(first), "component_id", F.lit(24), F.col("name")).filter("name <> stays").select("name")
+    lost = scratch.table(lost)
     return rows.join(broadcast_if(lost, F.lit(8)), "name", "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ann import usable
-from .base import Scratch, components
+from .base import Scratch, components, spread_join
 from .minhash import forest
 
 NEIGHBOURS, MOST, TREES, CELL, GROUP = 10, 64, 4, 48, 64
@@ -302,8 +302,9 @@ def link(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     counts, edges = done[0]
     for c, e in done[1:]:
         counts, edges = counts.union(c), edges.union(e)
-    named = nodes.select("node", "rep", "n").join(components(scratch, edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = named.join(named.groupBy("root").agg(F.min("rep").alias("component_id")), "root").join(counts, "node", "left")
+    members = nodes.select("node", "rep").join(components(scratch, edges), "node")
+    members = spread_join(members, members.groupBy("root").agg(F.min("rep").alias("component_id")), "root", F.lit(24), F.col("node")).select("node", "component_id")
+    named = nodes.select("node", "rep", "n").join(members, "node", "left").withColumn("component_id", F.coalesce("component_id", "rep")).join(counts, "node", "left")
     named = named.select("node", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     out = keyed.join(named, "node", "left")
     own_id = F.coalesce("component_id", "vec_id")
