@@ -35,6 +35,8 @@ SYMBOLS, BITS, CHUNKS, ERRORS = 80, 16, 16, 1
 DISTANCE = (ERRORS + 1) * CHUNKS - 1
 #: Signatures of a block, documents and shingles of one that is confirmed; two blocks meet in a task.
 SIGNATURES, BLOCK, BLOCK_SHINGLES, MOST_WORDS = 512, 256, 1_000_000, 150_000
+#: Rows of one set from which on they are dealt out.
+COPIES = 128
 SEEDS = mixed(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -255,16 +257,20 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = classes(docs, width, scratch)
-    reps = rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    reps = rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     reps = scratch.table(reps)
     found = components(scratch, candidates(reps, scratch))
     linked = components(scratch, confirmed(docs, reps, found, width, percent, scratch))
-    scratch.keep(rows, reps, linked)
     members = reps.select("node", "rep").join(linked, "node")
     least = members.groupBy("root").agg(F.min("rep").alias("component_id"))
     members = spread_join(members, least, "root", F.lit(24), F.col("node")).select("node", "component_id")
     named = reps.select("node", "rep").join(members, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
-    out = rows.drop("sig").join(named, "node", "left")
+    # sets that many rows have, and rows without one, are not dealt by the set
+    often = scratch.table(reps.filter(F.col("copies") > COPIES).select("node").join(named, "node"))
+    scratch.keep(rows, reps, linked, often)
+    seen = spread_join(rows.drop("sig"), often, "node", F.lit(24), F.col("doc_id"))
+    done = F.col("node").isNull() | F.col("component_id").isNotNull()
+    out = seen.filter(done).unionByName(seen.filter(~done).drop("component_id").join(named, "node", "left"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), F.col("node").alias("class_id"))
 
