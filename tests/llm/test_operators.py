@@ -367,6 +367,26 @@ def test_bpe(spark, docs, none):
     assert all(r["decoded"] is not None for r in got) and bpe.encode(none, path).count() == 0
 
 
+def test_bpe_learns_a_word_once_a_batch(monkeypatch):
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    lib, enc, learned = tokenizers.Tokenizer.from_file(path), bpe.TrieEncoder(path), []
+    r = random.Random(5)
+    name = lambda: "".join(r.choice("bdfgkl") + r.choice("aeiouéß") for _ in range(4))
+    common = [name() for _ in range(30)]
+    batches = [[" ".join(common + [name() for _ in range(20)]) + "<|endoftext|>" + common[0] for _ in range(8)] for _ in range(3)]
+    want = [[np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in batch] for batch in batches]
+    trie = enc.trie
+    monkeypatch.setattr(enc, "trie", lambda ordered: learned.extend(ordered) or trie(ordered))
+    monkeypatch.setattr(bpe, "MOST_WORDS", 220)  # a batch has about 190
+    for batch, ids in zip(batches, want):
+        assert enc.encode(batch) == ids
+        assert len(set(learned)) == len(learned)  # those that repeat outlive the rest
+    for most in (1, 7, 40):
+        monkeypatch.setattr(bpe, "MOST_WORDS", most)
+        assert [enc.encode(batch) for batch in batches] == want and len(enc.known) == len(enc.numbers) <= most
+
+
 def test_minhash(spark, docs, none):
     for width in (2, 5):
         rows = [(r["doc_id"], r["text"]) for r in docs.collect()]

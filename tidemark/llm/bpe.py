@@ -4,14 +4,18 @@ For byte-pair encoding the encoding of a word's prefix is the encoding of a shor
 one last token, and that token is the only one that is valid after the shorter prefix's own last
 token. Words are visited in byte order, which is the depth-first order of their trie: the states
 on the path that a word shares with its predecessor are kept, so shared prefixes are computed once.
+The more words are in one trie, the more they share: words of a whole batch are numbered first, new
+ones go through one trie together, and texts are put together by numbers.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import os
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,8 +28,9 @@ from .base import small_batches
 
 #: Fixed value: the byte-level tokenizer's own split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words, and pairs of tokens, that a worker remembers at most; beyond it they are computed anew.
-MOST_WORDS, MOST_PAIRS = 150_000, 1_000_000
+#: Words that a worker remembers from batch to batch and new ones that it takes up at once (about), and
+#: pairs of tokens that it remembers, at most; beyond it they are computed anew.
+MOST_WORDS, MOST_PAIRS = 250_000, 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -35,6 +40,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Numbers(dict):
+    """Words' numbers, in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class TrieEncoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -58,7 +71,11 @@ class TrieEncoder:
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        """Forgets all words. known: the ids of the words that have a number, by number."""
+        self.numbers, self.known = Numbers(), []
 
     def plain(self, word: bytes) -> list[int]:
         """The definition: merge the neighbours of least rank until none can merge."""
@@ -84,16 +101,21 @@ class TrieEncoder:
 
     def trie(self, ordered: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Words in byte order, each with its ids. last[i]: the token that ends the prefix of i bytes."""
-        last, before, ids, longest = [-1], b"", self.ids, self.longest
+        last, before, ids, longest, pairs = [-1], b"", self.ids, self.longest, self.pairs
         for word in ordered:
             keep = len(os.path.commonprefix((before, word)))
             del last[keep + 1 :]
             for end in range(keep + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    t = ids.get(word[start:end])
-                    if t is not None and (self.follows(last[start], t) if start else self.single(t)):
-                        last.append(t)
-                        break
+                for start in range(end - longest if end > longest else 0, end):
+                    if (t := ids.get(word[start:end])) is not None:
+                        if start:
+                            ok = pairs.get((last[start], t))
+                            ok = self.follows(last[start], t) if ok is None else ok
+                        else:
+                            ok = self.single(t)
+                        if ok:
+                            last.append(t)
+                            break
                 else:
                     raise ValueError("the vocabulary lacks a byte")
             out, end = [], len(word)
@@ -103,25 +125,6 @@ class TrieEncoder:
             yield word, out[::-1]
             before = word
 
-    def learn(self, found: set[str]) -> None:
-        if len(self.known) + len(found) > MOST_WORDS:
-            self.known = {}
-        new = {w.encode(): w for w in found if w not in self.known}
-        for word, ids in self.trie(sorted(new)):
-            self.known[new[word]] = np.array(ids, "<u4").tobytes()
-
-    def learn_batch(self, texts: list[str]) -> None:
-        """One trie for the distinct words of many texts, as far as they may be remembered."""
-        found: set[str] = set()
-        for text in texts:
-            for part, special in self.pieces(text):
-                if not special:
-                    found.update(self.split(part))
-            if len(found) > MOST_WORDS // 2:
-                break
-        if len(found) <= MOST_WORDS:
-            self.learn(found)
-
     def pieces(self, text: str) -> list[tuple[str, bool]]:
         """The text cut at special tokens, which stand for themselves (True)."""
         out, at = [], 0
@@ -130,20 +133,51 @@ class TrieEncoder:
             at = m.end()
         return [x for x in [*out, (text[at:], False)] if x[0]]
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for part, special in self.pieces(text):
-            if special:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
-                continue
-            found = self.split(part)
-            for at in range(0, len(found), MOST_WORDS):  # a text may have more words than may be remembered
-                some = found[at : at + MOST_WORDS]
-                if not self.known.keys() >= (distinct := set(some)):
-                    self.learn(distinct)
-                out += map(self.known.__getitem__, some)
-        return b"".join(out)
+    def learn(self) -> None:
+        """One trie for the words that have a number but no ids yet."""
+        new = {w.encode(): i for w, i in itertools.islice(self.numbers.items(), len(self.known), None)}
+        self.known += [b""] * len(new)
+        for word, ids in self.trie(sorted(new)):
+            self.known[new[word]] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def forget(self, seen: list[np.ndarray]) -> None:
+        """Beyond MOST_WORDS only words stay that the texts seen last hold more than once: the rest seldom comes again."""
+        if len(self.known) <= MOST_WORDS:
+            return
+        again = np.bincount(np.concatenate(seen), minlength=len(self.known)) > 1
+        words, known, self.numbers = list(self.numbers), self.known, Numbers()
+        stay = np.flatnonzero(again)[:MOST_WORDS].tolist()
+        self.numbers.update((words[i], at) for at, i in enumerate(stay))
+        self.known = [known[i] for i in stay]
+
+    def encode(self, texts: Iterable[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit integers."""
+        out: list[list[bytes]] = []
+        waiting: list[tuple[list[bytes], int, np.ndarray]] = []  # numbers of words, and where their ids go
+
+        def settle() -> None:
+            self.learn()
+            for parts, at, numbers in waiting:
+                parts[at] = b"".join(map(self.known.__getitem__, numbers.tolist()))
+            self.forget([numbers for _, _, numbers in waiting])
+            waiting.clear()
+
+        for text in texts:
+            out.append(parts := [])
+            for part, special in self.pieces(text):
+                if special:
+                    parts.append(struct.pack("<I", self.special[part]))
+                    continue
+                found = self.split(part)
+                for at in range(0, len(found), MOST_WORDS):  # a text may have more words than may be remembered
+                    some = found[at : at + MOST_WORDS]
+                    waiting.append((parts, len(parts), np.fromiter(map(self.numbers.__getitem__, some), np.int32, len(some))))
+                    parts.append(b"")
+                    if len(self.numbers) - len(self.known) > MOST_WORDS:
+                        settle()
+        if waiting:
+            settle()
+        return [b"".join(parts) for parts in out]
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -159,20 +193,19 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     path: the tokenizer's file, at the same place on every machine. A null text is an empty one
     and has no ids; rows with equal or null doc_id each give a row; other columns are not read.
-    No shuffle: memory is one Arrow batch and MOST_WORDS remembered words.
+    No shuffle: memory is one Arrow batch and three times MOST_WORDS words.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            enc.learn_batch(texts)
-            rows = [(ids, enc.decode(ids)) for ids in map(enc.encode, texts)]
+            rows = [(ids, enc.decode(ids)) for ids in enc.encode(texts)]
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "n_tokens": [len(i) // 4 for i, _ in rows], "ids": [i for i, _ in rows], "decoded": [d for _, d in rows],
                 "ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in rows], "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for _, d in rows],
             })
-        enc.known = {}  # the worker may serve other operators next
+        enc.clear()  # the worker may serve other operators next
 
     small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded string, ids_sha256 string, decoded_sha256 string")
