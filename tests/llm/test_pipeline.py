@@ -77,3 +77,19 @@ def test_chain_of_odd_rows(spark, tmp_path):
     again = chained(spark, tmp_path, "clash", more, clash)
     key = lambda rs: sorted(((r["doc_id"], r["ids_sha256"]) for r in rs), key=str)
     assert key(again) == key(got)
+
+
+def test_no_plan_runs_many_jobs(spark, tmp_path):
+    """What runs at once is in the driver's memory at once."""
+    rows = [(i, t, "en", ["a", "b"][i % 2], len(t) if t else None, 1, "s", 2, 0.5) for i, t in enumerate(texts(3, 40))]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    docs, store = spark.read.parquet(f"{tmp_path}/documents.parquet"), spark._jsparkSession.sharedState().statusStore()
+    for name, stage in corpus_pipeline.STAGES:
+        if name not in ("line_dedup", "mixing"):
+            continue
+        before = store.executionsCount()
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        jobs = [store.executionsList().apply(i).jobs().size() for i in range(before, store.executionsCount())]
+        print(name, sorted(jobs))
+        assert jobs and max(jobs) <= 10

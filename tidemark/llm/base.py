@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -94,6 +96,12 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def trim() -> None:
+    """Gives memory that this process has freed back to the system, if its C library can: workers outlive their tasks."""
+    with contextlib.suppress(OSError, AttributeError, TypeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

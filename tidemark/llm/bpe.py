@@ -24,13 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import small_batches
+from .base import small_batches, trim
 
 #: Fixed value: the byte-level tokenizer's own split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words that a worker remembers from batch to batch and new ones that it takes up at once (about), and
 #: pairs of tokens that it remembers, at most; beyond it they are computed anew.
-MOST_WORDS, MOST_PAIRS = 250_000, 1_000_000
+MOST_WORDS, MOST_PAIRS = 120_000, 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -206,6 +206,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 "ids_sha256": [hashlib.sha256(i).hexdigest() for i, _ in rows], "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for _, d in rows],
             })
         enc.clear()  # the worker may serve other operators next
+        trim()
 
     small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, n_tokens long, ids binary, decoded string, ids_sha256 string, decoded_sha256 string")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import remainder, small_batches
+from .base import remainder, small_batches, trim
 
 GRAMS, BITS, LEAST_BITS = 3, 18, 14
 #: Bounds of the fit: labelled rows a language (about) and in all, landmarks (one a language at least),
@@ -144,7 +144,9 @@ def learned(docs: DataFrame, held_out: Column | None = None) -> Model:
     """A model of the labelled rows that are not held out (default: crc32 of the id mod 4 is 2)."""
     held_out = remainder(F.col("doc_id"), 4) == 2 if held_out is None else held_out
     kinds = {"doc_id": "long", "text": "string", "lang": "string"}
-    return fit(*sample(docs.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]), ~held_out))
+    model = fit(*sample(docs.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]), ~held_out))
+    trim()
+    return model
 
 
 def identify(docs: DataFrame, held_out: Column | None = None, known: Model | None = None) -> DataFrame:
@@ -172,6 +174,7 @@ def identify(docs: DataFrame, held_out: Column | None = None, known: Model | Non
                 pred[ok] = np.array(m.labels, object)[s.argmax(1)]
                 score[ok] = np.clip((s.max(1).astype(float) + 1) / 2, 0, 1)
             yield pd.DataFrame({"lang_pred": pred, "score": score})
+        trim()
 
     own = [F.col(f"`{c}`") for c in docs.columns]
     return docs.select(*own, predict(F.col("text").cast("string")).alias("found")).select(*own, "found.lang_pred", "found.score")

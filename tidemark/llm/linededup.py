@@ -63,6 +63,7 @@ def repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
     windows = rows.filter("ahead is not null").select(*KEY, "i", F.col("ahead").alias("n")).union(rows.filter("back is not null").select(*KEY, F.col("i") - F.col("back") + 1, "back")).distinct()
     windows = scratch.table(windows)
     longest = windows.agg(F.max("n")).first()[0] or 0
+    # each level's windows are written on their own: one plan of all levels shuffles them at once, and the driver's memory grows with that
     level, found, j = rows.select(*KEY, "i", F.col("line").alias("r")), None, 0
     while longest >> j:
         if j:
@@ -71,12 +72,11 @@ def repeated(docs: DataFrame, least: int, scratch: Scratch) -> DataFrame:
         head = own.join(level, [*KEY, "i"])
         tail = level.select(*KEY, F.col("i").alias("e"), F.col("r").alias("s"))
         both = head.withColumn("e", F.col("i") + F.col("n") - (1 << j)).join(tail, [*KEY, "e"])
-        named = both.select(*KEY, "i", "n", "r", "s")
+        named = scratch.table(both.select(*KEY, "i", "n", "r", "s"))
         found = named if found is None else found.union(named)
         j += 1
     if found is None:
         return rows.select(*KEY, F.array(F.col("pos")).alias("gone")).limit(0)
-    found = scratch.table(found)
     earliest = found.groupBy("n", "r", "s").agg(F.min(F.struct(*KEY, "i")).alias("first"), F.count("*").alias("c")).filter("c > 1")
     earliest = scratch.table(earliest)
     later = found.join(earliest, ["n", "r", "s"]).filter(F.struct(*KEY, "i") > F.col("first"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import Scratch, broadcast_if, components, small_batches, spread_join, words
+from .base import Scratch, broadcast_if, components, small_batches, spread_join, trim, words
 from .lm import mixed
 
 SYMBOLS, BITS, CHUNKS, ERRORS = 80, 16, 16, 1
@@ -189,6 +189,7 @@ def classes(docs: DataFrame, width: int, scratch: Scratch) -> DataFrame:
         for batch in batches:
             rows = [(len(s), class_of(s), signature(s)) if len(s) else (0, None, None) for s in map(shingles.of, batch["text"])]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": [n for n, _, _ in rows], "node": pd.array([c for _, c, _ in rows], "Int64"), "sig": [x for _, _, x in rows]})
+        trim()
 
     return scratch.table(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, node long, sig binary"))
 
@@ -236,6 +237,7 @@ def confirmed(docs: DataFrame, reps: DataFrame, found: DataFrame, width: int, pe
                 found = [shingles.of(t) for t in batch["text"]]
                 ok = np.array([len(s) > 0 and class_of(s) == w for s, w in zip(found, batch["node"])], bool)
                 yield batch[ok].drop(columns="text").assign(data=[s.tobytes() for s, k in zip(found, ok) if k])
+            trim()
 
         names = [c for c in df.columns if c != "rep"]
         texts = docs.select(F.col("doc_id").alias("rep"), "text").join(broadcast_if(df, F.lit(48)), "rep").select(*names, "text")

@@ -115,7 +115,8 @@ def draws(per: DataFrame, scratch: Scratch, seed: int) -> DataFrame:
     rest = rest.select("skey", F.explode(F.sequence("given", F.col("slots") - 1, F.lit(SHARD).cast("long"))).alias("lo"))
     rest = rest.select("skey", (F.lit(first) + F.pmod(F.xxhash64(F.lit(seed + 3), "skey", "lo"), F.lit(closing))).alias("shard"), "lo", F.lit(SHARD).cast("long").alias("n"))
     runs = runs.unionByName(rest).join(broadcast_if(per.select("skey", "blocks", "keys", "slots"), F.octet_length("skey") + 8 * ROUNDS + 40), "skey")
-    runs = runs.withColumn("hi", F.least(F.col("lo") + F.col("n"), "slots")).filter("lo < hi")
+    # written, since one plan of draws and pieces runs so many shuffles at once that the driver's memory grows
+    runs = scratch.table(runs.withColumn("hi", F.least(F.col("lo") + F.col("n"), "slots")).filter("lo < hi").select("skey", "shard", "blocks", "keys", "lo", "hi"))
     slots = runs.select("skey", "shard", "blocks", "keys", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("slot"))
     return slots.select("skey", "slot", permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), F.col("keys"), seed + 1).alias("block"), "shard")
 
